@@ -6,6 +6,7 @@ import importlib
 
 MODULES = [
     "mixing",
+    "automaton",
     "simhash",
 ]
 
