@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import ArrayType, IntegerType
 
 from weavemine.session import table
 
@@ -252,7 +253,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", dec
     """``docs`` with an array of token ids (and, if named, the decoded text); columns of these names are replaced."""
     spec = docs.sparkSession.sparkContext.broadcast(read_spec(path))  # one tokenizer file
     kept = [c for c in docs.columns if c not in (ids, decoded)]
-    shape = docs.select(kept).schema.add(ids, "array<int>")
+    shape = docs.select(kept).schema.add(ids, ArrayType(IntegerType()))
     if decoded:
         shape = shape.add(decoded, "string")
     place = docs.columns.index(text)
