@@ -7,6 +7,7 @@ import importlib
 MODULES = [
     "mixing",
     "automaton",
+    "toxicity",
     "simhash",
 ]
 
