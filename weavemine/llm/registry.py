@@ -8,6 +8,7 @@ MODULES = [
     "mixing",
     "automaton",
     "toxicity",
+    "warc",
     "simhash",
 ]
 

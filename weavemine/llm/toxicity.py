@@ -118,7 +118,7 @@ class _Rows:
 def _fit(rows: _Rows, y: np.ndarray, use: np.ndarray, steps: int = 120, ridge: float = 0.1) -> tuple[np.ndarray, float]:
     """Ridge logistic regression on the rows in ``use`` by Adam; deterministic."""
     p = rows.k + rows.dense.shape[1]
-    n = max(1, int(use.sum()))
+    n = int(use.sum())
     rate = (y[use].sum() + 0.5) / (n + 1)
     w, b = np.zeros(p), float(np.log(rate / (1 - rate)))
     if not use.any() or y[use].min() == y[use].max():
