@@ -9,6 +9,7 @@ MODULES = [
     "automaton",
     "toxicity",
     "warc",
+    "hostgraph",
     "simhash",
 ]
 
