@@ -181,7 +181,7 @@ def _filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
 def open_archive(uri: str) -> BinaryIO:
     """Streaming reader; gzip members one after another read as one stream."""
     fs, path = _filesystem(uri)
-    raw = fs.open_input_stream(path)
+    raw = fs.open_input_stream(path, compression=None)
     return io.BufferedReader(gzip.GzipFile(fileobj=raw)) if uri.endswith(".gz") else raw
 
 
@@ -198,7 +198,7 @@ class _Archives:
         self.name = f"{self.attempt}-{len(self.done):05d}.{self.suffix}.gz"
         fs, path = _filesystem(self.folder)
         fs.create_dir(path, recursive=True)
-        self.out = fs.open_output_stream(f"{path}/{self.name}")
+        self.out = fs.open_output_stream(f"{path}/{self.name}", compression=None)
         self.size = self.records = self.offset = 0
         return self.name
 
