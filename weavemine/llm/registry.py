@@ -10,6 +10,7 @@ MODULES = [
     "toxicity",
     "warc",
     "hostgraph",
+    "syncmers",
     "simhash",
 ]
 
