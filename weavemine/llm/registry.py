@@ -11,6 +11,7 @@ MODULES = [
     "warc",
     "hostgraph",
     "syncmers",
+    "embeddings",
     "simhash",
 ]
 
