@@ -12,6 +12,7 @@ MODULES = [
     "hostgraph",
     "syncmers",
     "embeddings",
+    "suffixes",
     "simhash",
 ]
 
