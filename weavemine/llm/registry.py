@@ -13,6 +13,7 @@ MODULES = [
     "syncmers",
     "embeddings",
     "suffixes",
+    "pii",
     "simhash",
 ]
 

@@ -399,8 +399,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS x FROM documents),
-w AS (SELECT doc_id, unnest(range(0, len(x) // 2 - 399)) AS p, x FROM d WHERE len(x) >= 800),
-g AS (SELECT doc_id, p, md5(substring(x, 2 * p + 1, 800)) AS g FROM w),
+c AS (SELECT doc_id, s, substring(x, 2 * s + 1, 1310) AS part FROM (SELECT doc_id, unnest(range(0, greatest(len(x) // 2 - 399, 0), 256)) AS s, x FROM d)),
+g AS (SELECT doc_id, s + q AS p, md5(substring(part, 2 * q + 1, 800)) AS g FROM (SELECT doc_id, s, part, unnest(range(0, least(256, len(part) // 2 - 399))) AS q FROM c)),
 r AS (SELECT doc_id, p FROM g WHERE g IN (SELECT g FROM g GROUP BY g HAVING count(*) > 1)),
 s AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER o + 400 THEN 0 ELSE 1 END AS fresh FROM r WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
 n AS (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM s),
