@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+MODULES = ("search_queries",)
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -18,9 +19,18 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+def _load() -> None:
+    import importlib
+
+    for name in MODULES:
+        importlib.import_module(f"weavemine.plans.{name}")
+
+
 def queries() -> dict:
+    _load()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(SQL)
