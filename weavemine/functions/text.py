@@ -77,8 +77,17 @@ def natural_key(text: Column) -> Column:
 
 
 def token_estimate(text: Column) -> Column:
-    """Tokens at about four characters each, one at least for text that isn't empty."""
-    return F.ceil(F.char_length(text) / 4).cast("long")
+    """About how many tokens an embedding model makes of the text.
+
+    Fixed values: a word 1.07 and .415 for each letter past the sixth, a number
+    .42 and .375 a digit, any other mark .95; a fifth is added.
+    """
+    count = lambda pattern: F.regexp_count(text, F.lit(pattern))
+    letters = lambda pattern: F.char_length(F.regexp_replace(text, pattern, ""))
+    words, numbers, marks = count("[A-Za-z]+"), count("[0-9]+"), count(r"[^\sA-Za-z0-9]")
+    long_part = F.aggregate(F.regexp_extract_all(text, F.lit("[A-Za-z]{7,}"), F.lit(0)), F.lit(0), lambda n, w: n + F.char_length(w) - 6)
+    total = 1.07 * words + 0.415 * long_part + 0.42 * numbers + 0.375 * letters("[^0-9]") + 0.95 * marks
+    return F.ceil(F.round(1.2 * total, 9)).cast("long")
 
 
 def strip_tags(html: Column) -> Column:

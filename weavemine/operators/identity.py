@@ -104,3 +104,55 @@ def majority(votes: DataFrame, voter: str, choice: str) -> DataFrame:
     n = votes.groupBy(voter, choice).agg(F.count("*").alias("votes"))
     order = Window.partitionBy(voter).orderBy(F.col("votes").desc(), choice)
     return n.withColumn("_r", F.row_number().over(order)).where("_r = 1").drop("_r")
+
+
+#: Fixed values of the lineage rules (shares and counts).
+COPY, COPY_MIN, OWN, OWN_MIN, AFTER, SAME, BRANCH, KEPT, PARSED, LATEST = 0.001, 2, 0.03, 20, 0.6, 0.15, 0.6, 0.5, 0.3, 0.95
+
+
+def lineage(marks: DataFrame, saved: DataFrame, cover: float = 0.2, least: int = 20) -> DataFrame:
+    """How related models came about: (older, newer, shared, own, parsed, same and after by side, kind).
+
+    ``marks`` has (model, id, day, maker), an id once a model; ``saved`` (model,
+    saved). The older model is the one saved first. Each side's own ids are
+    compared with the late quantile of the shared ids' days and with the other
+    side's makers.
+    """
+    s = saved.select(F.col("model").alias("m"), F.coalesce(F.col("saved").cast("string"), F.lit("")).alias("s"))
+    pairs = overlaps(marks, "model", "id").where((F.col("cover") >= cover) & (F.col("shared") >= least))
+    pairs = pairs.join(s.toDF("a", "sa"), "a").join(s.toDF("b", "sb"), "b")
+    first = F.struct("sa", "a") <= F.struct("sb", "b")
+    pairs = pairs.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("older"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("newer"), "shared", "cover", "jaccard")
+    ends = pairs.select("older", "newer", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("older").alias("model"), F.col("newer").alias("other")), F.struct(F.lit(1).alias("side"), F.col("newer").alias("model"), F.col("older").alias("other")))).alias("x"))
+    ends = ends.select("older", "newer", "x.*")
+    held = ends.join(marks, "model").join(marks.select(F.col("model").alias("other"), "id", F.lit(True).alias("both")), ["other", "id"], "left")
+    days = held.where("both AND side = 0 AND day IS NOT NULL").withColumn("r", F.row_number().over(Window.partitionBy("older", "newer").orderBy("day"))).withColumn("n", F.count("*").over(Window.partitionBy("older", "newer")))
+    latest = days.where(F.col("r") == F.least("n", F.floor(F.lit(LATEST) * F.col("n")) + 1)).select("older", "newer", F.col("day").alias("latest"))
+    makers = marks.where("maker IS NOT NULL").select(F.col("model").alias("other"), "maker", F.lit(True).alias("known")).distinct()
+    own = held.where("both IS NULL").join(makers, ["other", "maker"], "left").join(latest, ["older", "newer"], "left")
+    rate = lambda c, k, none: F.coalesce(F.round(F.avg(F.when(F.col("side") == k, c.cast("int"))), 3), F.lit(none))
+    aggs = []
+    for k, side in enumerate("ab"):
+        aggs += [
+            F.count_if(F.col("side") == k).alias(f"own_{side}"),
+            rate(F.col("maker").isNotNull(), k, 1.0).alias(f"parsed_{side}"),
+            rate(F.when(F.col("maker").isNotNull(), F.col("known").isNotNull()), k, 0.0).alias(f"same_{side}"),
+            rate(F.when(F.col("day").isNotNull(), F.coalesce(F.col("day") > F.col("latest"), F.lit(False))), k, 0.0).alias(f"after_{side}"),
+        ]
+    out = pairs.join(own.groupBy("older", "newer").agg(*aggs), ["older", "newer"], "left").fillna(0, ["own_a", "own_b"]).fillna(1.0, ["parsed_a", "parsed_b"]).fillna(0.0, ["same_a", "same_b", "after_a", "after_b"])
+    sizes = marks.groupBy("model").agg(F.count("*").alias("ids"))
+    out = out.join(sizes.toDF("older", "ids_a"), "older").join(sizes.toDF("newer", "ids_b"), "newer")
+    c = F.col
+    few = lambda k: c(f"own_{k}") <= F.greatest(F.lit(COPY_MIN), COPY * c(f"ids_{k}"))
+    much = lambda k: (c(f"own_{k}") >= OWN_MIN) & (c(f"own_{k}") >= OWN * c(f"ids_{k}"))
+    rivals = much("a") & much("b") & (c("after_a") >= AFTER) & (c("after_b") >= AFTER)
+    kind = (
+        F.when(few("a") & few("b"), "copy")
+        .when(few("b") & (c("jaccard") >= KEPT), "version")
+        .when(c("parsed_b") < PARSED, "unknown")
+        .when(rivals & (c("parsed_a") < PARSED), "unknown")
+        .when(rivals, F.when((c("same_a") >= BRANCH) & (c("same_b") >= BRANCH), "branches").otherwise("root"))
+        .when((c("after_b") >= AFTER) & (c("after_a") < AFTER), F.when(c("same_b") >= SAME, "version").otherwise("derived"))
+        .otherwise("related")
+    )
+    return out.withColumn("kind", kind)

@@ -207,7 +207,8 @@ def token_windows(spark, d):
     return chunking.token_windows(table(spark, d, "documents").select(F.col("doc_id").alias("doc"), F.size(T.search_words(F.col("text"))).alias("n")))
 
 
-@query("token_estimate", "SELECT source, count(*) AS n, CAST(sum(CAST(ceil(length(text) / 4) AS BIGINT)) AS BIGINT) AS tokens FROM documents GROUP BY source")
+@query("token_estimate", """WITH t AS (SELECT source, regexp_extract_all(text, '[A-Za-z]+') AS w, regexp_extract_all(text, '[0-9]+') AS d, len(regexp_extract_all(text, '[^\\s\\x0BA-Za-z0-9]')) AS m FROM documents)
+SELECT source, count(*) AS n, CAST(sum(CAST(ceil(round(1.2 * (1.07 * len(w) + 0.415 * coalesce(list_sum(list_transform(w, lambda x: greatest(length(x) - 6, 0))), 0) + 0.42 * len(d) + 0.375 * coalesce(list_sum(list_transform(d, lambda x: length(x))), 0) + 0.95 * m), 9)) AS BIGINT)) AS BIGINT) AS tokens FROM t GROUP BY source""")
 def token_estimate(spark, d):
     return table(spark, d, "documents").groupBy("source").agg(F.count("*").alias("n"), F.sum(T.token_estimate(F.col("text"))).alias("tokens"))
 
@@ -263,3 +264,29 @@ def nearest_owner(spark, d):
     nodes = c.select(F.concat_ws(":", "conv_id", "turn").alias("id"), F.concat_ws(":", "conv_id", F.col("turn") - 1).alias("owner"), "role", "turn")
     near = hierarchy.nearest_ancestor(nodes, F.col("role") == "user")
     return near.select("id", F.split_part("ancestor", F.lit(":"), F.lit(2)).cast("long").alias("owner_turn"))
+
+
+LINEAGE = OVERLAP.replace("WITH o AS", """WITH f AS (SELECT l_suppkey AS m, l_partkey AS i, min(l_shipdate) AS day, min(l_returnflag) AS maker FROM lineitem GROUP BY l_suppkey, l_partkey),
+o AS""") + """,
+s AS (SELECT m, min(day) AS saved FROM f GROUP BY m),
+k AS (SELECT v.*, CASE WHEN (x.saved, v.a) <= (y.saved, v.b) THEN v.a ELSE v.b END AS older, CASE WHEN (x.saved, v.a) <= (y.saved, v.b) THEN v.b ELSE v.a END AS newer
+  FROM v JOIN s x ON x.m = v.a JOIN s y ON y.m = v.b WHERE cover >= 0.2 AND shared >= 20),
+d AS (SELECT older, newer, day, row_number() OVER (PARTITION BY older, newer ORDER BY day) AS r, count(*) OVER (PARTITION BY older, newer) AS n
+  FROM k JOIN f ON f.m = k.older WHERE EXISTS (SELECT 1 FROM f g WHERE g.m = k.newer AND g.i = f.i)),
+l AS (SELECT older, newer, day AS latest FROM d WHERE r = least(n, CAST(floor(0.95 * n) AS BIGINT) + 1)),
+own AS (SELECT k.older, k.newer, side, f.m, f.day > l.latest AS late, f.maker IN (SELECT maker FROM f h WHERE h.m = CASE WHEN side = 0 THEN k.newer ELSE k.older END) AS same
+  FROM k JOIN l ON l.older = k.older AND l.newer = k.newer CROSS JOIN (SELECT unnest([0, 1]) AS side) JOIN f ON f.m = CASE WHEN side = 0 THEN k.older ELSE k.newer END
+  WHERE NOT EXISTS (SELECT 1 FROM f g WHERE g.m = CASE WHEN side = 0 THEN k.newer ELSE k.older END AND g.i = f.i)),
+st AS (SELECT older, newer, count(*) FILTER (side = 0) AS own_a, count(*) FILTER (side = 1) AS own_b, coalesce(round(avg(CAST(late AS INTEGER)) FILTER (side = 0), 3), 0) AS after_a, coalesce(round(avg(CAST(late AS INTEGER)) FILTER (side = 1), 3), 0) AS after_b,
+  coalesce(round(avg(CAST(same AS INTEGER)) FILTER (side = 0), 3), 0) AS same_a, coalesce(round(avg(CAST(same AS INTEGER)) FILTER (side = 1), 3), 0) AS same_b FROM own GROUP BY older, newer)
+SELECT older, newer, shared, own_a, own_b, after_a, after_b,
+  CASE WHEN after_b >= 0.6 AND after_a < 0.6 THEN CASE WHEN same_b >= 0.15 THEN 'version' ELSE 'derived' END
+       WHEN after_a >= 0.6 AND after_b >= 0.6 THEN CASE WHEN same_a >= 0.6 AND same_b >= 0.6 THEN 'branches' ELSE 'root' END ELSE 'related' END AS kind
+FROM k JOIN st USING (older, newer)"""
+
+
+@query("lineage_sides", LINEAGE)
+def lineage_sides(spark, d):
+    f = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("model"), F.col("l_partkey").alias("id")).agg(F.min("l_shipdate").alias("day"), F.min("l_returnflag").alias("maker"))
+    saved = f.groupBy("model").agg(F.min("day").alias("saved"))
+    return identity.lineage(f, saved).select("older", "newer", "shared", "own_a", "own_b", "after_a", "after_b", "kind")
