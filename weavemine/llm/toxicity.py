@@ -22,6 +22,7 @@ carried along unread by ``reject`` and ignored by ``score``.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -98,15 +99,61 @@ class Chain:
         return out
 
 
+class _Hits:
+    """Candidate features of all documents as flat arrays: document, feature, count.
+
+    Candidates are held by three documents or more of a category's positives, so
+    the counts that have to be kept grow with those and not with every word.
+    """
+
+    def __init__(self, texts: list[str | None], labels: list[np.ndarray]):
+        seen = [Counter() for _ in labels]
+        for i, t in enumerate(texts):
+            if any(y[i] for y in labels):
+                found = features(t).keys()
+                for y, c in zip(labels, seen):
+                    if y[i]:
+                        c.update(found)
+        self.names = sorted({f for c in seen for f, n in c.items() if n >= 3})
+        del seen
+        place = {f: k for k, f in enumerate(self.names)}
+        r, f_, n_ = array("i"), array("i"), array("i")
+        size = []
+        for i, t in enumerate(texts):
+            words = counts(t)
+            size.append(sum(words.values()))
+            mine: dict[int, int] = defaultdict(int)
+            for w, n in words.items():
+                for f in word_features(w):
+                    if (k := place.get(f)) is not None:
+                        mine[k] += n
+            r.extend([i] * len(mine))
+            f_.extend(mine.keys())
+            n_.extend(mine.values())
+        self.r, self.f, self.n = (np.array(x, np.int64) for x in (r, f_, n_))
+        self.size = np.log1p(np.array(size, float))
+
+    def choose(self, y: np.ndarray, most: int) -> np.ndarray:
+        """The features whose presence tells the classes apart best (chi squared)."""
+        k = len(self.names)
+        a = np.bincount(self.f, y[self.r], k)
+        b = np.bincount(self.f, 1 - y[self.r], k)
+        n_pos, n_neg = max(1.0, y.sum()), max(1.0, (1 - y).sum())
+        share = (a + b) / (n_pos + n_neg)
+        score = (a / n_pos - b / n_neg) ** 2 / (share * (1 - share) + 1e-3)
+        return np.argsort(-score, kind="stable")[:most]
+
+
 class _Rows:
-    """Sparse rows: feature counts turned into columns, with dense columns after them."""
+    """Sparse rows of chosen columns of the documents' hits, with dense columns after them."""
 
-    def __init__(self, docs: list[dict[str, int]], vocabulary: dict[str, int], dense: np.ndarray):
-        at = [(r, i, np.log1p(n)) for r, d in enumerate(docs) for f, n in d.items() if (i := vocabulary.get(f)) is not None]
-        self.r = np.array([a[0] for a in at], np.int64)
-        self.c = np.array([a[1] for a in at], np.int64)
-        self.x = np.array([a[2] for a in at])
-        self.k, self.n, self.dense = len(vocabulary), len(docs), dense
+    def __init__(self, hits: _Hits, chosen: np.ndarray, dense: np.ndarray):
+        column = np.full(len(hits.names), -1)
+        column[chosen] = np.arange(len(chosen))
+        c = column[hits.f]
+        at = c >= 0
+        self.r, self.c, self.x = hits.r[at], c[at], np.log1p(hits.n[at])
+        self.k, self.n, self.dense = len(chosen), len(hits.size), dense
 
     def times(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.r, self.x * w[self.c], self.n) + self.dense @ w[self.k :]
@@ -134,38 +181,22 @@ def _fit(rows: _Rows, y: np.ndarray, use: np.ndarray, steps: int = 120, ridge: f
     return w, b
 
 
-def _choose(docs: list[dict[str, int]], y: np.ndarray, most: int) -> dict[str, int]:
-    """The features whose presence tells the classes apart best (chi squared), held by 3 documents or more."""
-    pos, neg = Counter(), Counter()
-    for d, c in zip(docs, y):
-        (pos if c else neg).update(d.keys())
-    n_pos, n_neg = max(1.0, y.sum()), max(1.0, (1 - y).sum())
-    scored = []
-    for f in pos.keys() | neg.keys():
-        a, b = pos[f], neg[f]
-        if a + b >= 3:
-            share = (a + b) / (n_pos + n_neg)
-            scored.append((-(((a / n_pos - b / n_neg) ** 2) / (share * (1 - share) + 1e-3)), f))
-    return {f: i for i, (_, f) in enumerate(sorted(scored)[:most])}
-
-
 def train(texts: list[str | None], labels: dict[str, list[int]], folds: list[int], most: int = FEATURES) -> Chain:
     """Fit the chain; ``labels`` by category in chain order, ``folds`` a fold number for each text."""
-    docs = [features(t) for t in texts]
-    size = np.array([[np.log1p(sum(n for f, n in d.items() if "^" not in f))] for d in docs]).reshape(len(docs), 1)
+    ys = [np.array(v, float) for v in labels.values()]
+    hits = _Hits(texts, ys)
     fold = np.array(folds, np.int64)
-    earlier = np.zeros((len(docs), 0))
+    dense = hits.size.reshape(len(texts), 1)
     chain = Chain()
-    for values in labels.values():
-        y = np.array(values, float)
-        vocabulary = _choose(docs, y, most)
-        rows = _Rows(docs, vocabulary, np.hstack([size, earlier]))
-        chain.models.append(Linear(vocabulary, *_fit(rows, y, np.ones(len(docs), bool))))
-        out_of_fold = np.zeros(len(docs))
+    for y in ys:
+        chosen = hits.choose(y, most)
+        rows = _Rows(hits, chosen, dense)
+        chain.models.append(Linear({hits.names[f]: i for i, f in enumerate(chosen)}, *_fit(rows, y, np.ones(len(texts), bool))))
+        out_of_fold = np.zeros(len(texts))
         for k in range(FOLDS):
             w, b = _fit(rows, y, fold != k)
             out_of_fold[fold == k] = (1 / (1 + np.exp(-np.clip(rows.times(w) + b, -30, 30))))[fold == k]
-        earlier = np.hstack([earlier, out_of_fold[:, None]])
+        dense = np.hstack([dense, out_of_fold[:, None]])
     return chain
 
 
