@@ -157,8 +157,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block: int
     counted = found.groupBy("ckey").agg(F.sum("links").alias("links"))
     rooted = classes.select("ckey", "n", "least").join(counted, "ckey", "left").join(cc.withColumnRenamed("node", "ckey"), "ckey", "left")
     rooted = materialize(rooted.select("ckey", "n", "least", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "ckey").alias("root")), "vector-rooted")
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("ckey", (F.col("links") + F.col("n") - 1).alias("n_links"), "component_id")
+    least = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "vector-least")
+    named = rooted.join(least.hint("merge"), "root").select("ckey", (F.col("links") + F.col("n") - 1).alias("n_links"), "component_id")
     named = materialize(named, "vector-named")
     lone = rows.where("ckey IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     out = rows.where("ckey IS NOT NULL").select("vec_id", "ckey").join(named, "ckey").select("vec_id", "n_links", "component_id")

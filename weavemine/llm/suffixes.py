@@ -211,31 +211,51 @@ def _signature(lo: int, hi: int, covered: bytes) -> bytes:
 _SIGNED = 1 << 63
 
 
+_FOUND = pa.schema([("u1", pa.int64()), ("u2", pa.int64()), ("h", pa.int64()), ("at", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("cls", pa.binary())])
+_COVERED = pa.schema([("h", pa.int64()), ("cls", pa.binary()), ("lo", pa.int32()), ("hi", pa.int32()), ("covered", pa.binary())])
+FLUSH = 20_000  # rows gathered before they are handed on
+
+
+def _batch(columns: list[list], schema: pa.Schema) -> pa.RecordBatch:
+    out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+    for c in columns:
+        c.clear()
+    return out
+
+
 def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    columns: list[list] = [[] for _ in _FOUND]
+    u1s, u2s, hs, ats, los, his, classes = columns
     for b in batches:
-        for r in range(b.num_rows):
-            data = (b.column(2)[r].as_py() or "").encode()
-            cols: tuple[list, ...] = ([], [], [], [], [])
+        for u1, u2, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+            data = (text.as_py() or "").encode()
+            before = len(hs)
             for v, i, lo, hi in anchors(data):
-                for c, x in zip(cols, ((v ^ _SIGNED) - _SIGNED, i, lo, hi, _signature(lo, hi, data[i + lo : i + hi + SPAN]))):
-                    c.append(x)
-            if cols[0]:
-                n = len(cols[0])
-                u1, u2 = (pa.array(np.full(n, b.column(k)[r].as_py(), np.int64)) for k in (0, 1))
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([u1, u2, *(pa.array(c, k) for c, k in zip(cols, kinds))], ["u1", "u2", "h", "at", "lo", "hi", "cls"])
+                hs.append((v ^ _SIGNED) - _SIGNED)
+                ats.append(i)
+                los.append(lo)
+                his.append(hi)
+                classes.append(_signature(lo, hi, data[i + lo : i + hi + SPAN]))
+            u1s += [u1] * (len(hs) - before)
+            u2s += [u2] * (len(hs) - before)
+            if len(hs) >= FLUSH:
+                yield _batch(columns, _FOUND)
+    yield _batch(columns, _FOUND)
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes that a class covers, from the document of its first row."""
+    columns: list[list] = [[] for _ in _COVERED]
     for b in batches:
         for text, wanted in zip(b.column(0), b.column(1)):
             data = (text.as_py() or "").encode()
-            w = wanted.as_py()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x["h"] for x in w], pa.int64()), pa.array([x["cls"] for x in w], pa.binary()), pa.array([x["lo"] for x in w], pa.int32()), pa.array([x["hi"] for x in w], pa.int32()), pa.array([data[x["at"] + x["lo"] : x["at"] + x["hi"] + SPAN] for x in w], pa.binary())],
-                ["h", "cls", "lo", "hi", "covered"],
-            )
+            for x in wanted.as_py():
+                row = (x["h"], x["cls"], x["lo"], x["hi"], data[x["at"] + x["lo"] : x["at"] + x["hi"] + SPAN])
+                for c, v in zip(columns, row):
+                    c.append(v)
+                if len(columns[0]) >= FLUSH:
+                    yield _batch(columns, _COVERED)
+    yield _batch(columns, _COVERED)
 
 
 def _halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
