@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weavemine.llm import automaton, mixing, pii, simhash, toxicity
+from weavemine.llm import automaton, mixing, nearcopies, pii, toxicity
 from weavemine.session import shared_dir, table
 
 
@@ -23,8 +23,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component, the one with the least id."""
-    return simhash.keep_one(docs)
+    """One document of each component of near copies (five-word Jaccard of 0.8 or more), the one with the least id."""
+    return nearcopies.keep_one(docs)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ STAGES = [
     ("bpe", encode_tokens),
 ]
 
-#: Classifier, XXH64 fingerprints and the tokenizer are beyond SQL.
+#: Classifier, XXH64 shingles and the tokenizer are beyond SQL.
 ORACLE_SQL = None
 
 

@@ -128,23 +128,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return fps.join(named, fps["fp"] == named["_fp"]).select(key, "fp", "component")
 
 
-def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each component the row with the least id stays.
-
-    Null ids come after all others, equal ids stand in the order of a hash of
-    the text, and of rows alike in both one stays.
-    """
-    key = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64(text).alias("h"))
-    near = near_duplicates(docs.select(key.alias("key"), text), key="key", text=text)
-    stay = near.where("key = component").groupBy("key").agg(F.count("*").alias("n"))
-    stay = materialize(stay.select("key.*", "n").toDF("_none", "_id", "_h", "_n"), "simhash-stay")
-    names = docs.columns
-    marked = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)], key.alias("_k")).select("*", "_k.*").drop("_k")
-    joined = marked.join(stay.hint("merge"), (F.col("none") == F.col("_none")) & (F.col("id") == F.col("_id")) & (F.col("h") == F.col("_h")))
-    once = joined.where("_n = 1").unionByName(joined.where("_n > 1").dropDuplicates(["none", "id", "h"]))
-    return once.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
