@@ -51,6 +51,14 @@ def test_repeated_mentions_are_added_and_strangers_left():
     assert P.redacted("to ann.b@c.de, ann.b", P.trained()) == "to <email>, <email>"
 
 
+def test_mentions_are_scored_without_a_base_span():
+    text = "write ann.lee[at]x.example.com or a.b(at)mail ok"
+    base, spans = P.find_spans(text, P.trained())
+    assert base == [] and [text[a:z] for _, a, z in spans] == ["ann.lee[at]x.example.com", "a.b(at)mail"]
+    assert P.redacted(text, P.trained()) == "write <email> or <email> ok"
+    assert P.find_spans("no data here", P.trained()) == ([], [])
+
+
 def test_held_out_accuracy():
     rnd, hit = random.Random(99), Counter()
     for _ in range(200):

@@ -307,8 +307,6 @@ def find_spans(text: str | None, model: Field) -> tuple[list[tuple[str, int, int
     """(base spans, all spans), each by start, kind and end."""
     text = text or ""
     base = base_spans(text)
-    if not base:
-        return base, base  # no span to repeat: what the field could add needs a base span to be tied to
     nodes = nodes_of(text, base)
     if len(nodes) == len(base):
         return base, base
