@@ -31,10 +31,9 @@ def bm25(docs: DataFrame, queries: DataFrame, k1: float = K1, b: float = B) -> D
     return rows.groupBy("qid", "doc").agg(F.sum(part).alias("score"), F.count("*").alias("matched"))
 
 
-def first_words(items: DataFrame, key: str, text: str, n: int = 8) -> DataFrame:
-    """(qid, word): the first n different words of each text."""
-    words = F.slice(F.array_distinct(search_words(F.col(text))), 1, n)
-    return items.select(F.col(key).alias("qid"), F.explode(words).alias("word"))
+def different_words(items: DataFrame, key: str, text: str) -> DataFrame:
+    """(qid, word): the different words of each text."""
+    return items.select(F.col(key).alias("qid"), F.explode(F.array_distinct(search_words(F.col(text)))).alias("word"))
 
 
 def top_k(scored: DataFrame, k: int, by: str = "qid", score: str = "score", tie: str = "doc") -> DataFrame:

@@ -111,7 +111,7 @@ def unique_names(spark, d):
 h AS (SELECT item_id, doc_id, word, position(word IN lower(text)) AS spot, text FROM t JOIN q ON list_contains(w, word))
 SELECT item_id, doc_id, substring(text, greatest(spot - 90, 1), 180 + length(word) - greatest(91 - spot, 0)) AS snippet FROM h""")
 def snippets(spark, d):
-    q = table(spark, d, "benchmark").select("item_id", F.get(T.search_words(F.col("text")), 0).alias("word"))
+    q = S.different_words(table(spark, d, "benchmark"), "item_id", "text").withColumnRenamed("qid", "item_id")
     docs = table(spark, d, "documents").select("doc_id", "text", F.explode(F.array_distinct(T.search_words(F.col("text")))).alias("word"))
     h = docs.join(q, "word").withColumn("at", F.expr("locate(word, lower(text))"))
     begin = F.greatest(F.col("at") - 90, F.lit(1))

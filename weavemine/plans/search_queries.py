@@ -28,7 +28,7 @@ OVERLAP = "overlap AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY ma
 
 def scored_documents(spark, d) -> DataFrame:
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("doc"), "text")
-    return S.bm25(docs, S.first_words(table(spark, d, "benchmark"), "item_id", "text")).withColumn("score", F.round("score", 6))
+    return S.bm25(docs, S.different_words(table(spark, d, "benchmark"), "item_id", "text")).withColumn("score", F.round("score", 6))
 
 
 @query("bm25_topk", f"WITH {BM25_SQL}, {RANKED} SELECT qid, doc, score, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 10")
