@@ -76,6 +76,19 @@ def test_distrust_flows_back_along_links(spark):
     assert v == {"bad.net": "block", "farm.org": "block", "calm.org": "allow"}
 
 
+def test_links_without_an_authority_stay_within_the_host(spark):
+    near = """<a href="/x"><a HREF = '?p=2'><a href=a.html><a href="#top"><a href=" b:c/"><a href="mailto:a@b.c"><a href='javascript:x'><a href="data:,"><a href = " //far.org/"><a href="http://FAR.org">"""
+    df = spark.createDataFrame([(1, "http://one.org/", near), (2, "http://one.org/", "<a href='/y'>"), (3, "http://two.org/", None)], "page_id long, url string, html string")
+    assert sorted(tuple(r) for r in H.host_edges(df).collect()) == [("one.org", "far.org", 2), ("one.org", "one.org", 5)]
+
+
+def test_a_host_of_inner_links_keeps_its_distrust_off_others(spark):
+    inner = "<a href='/z'>" * 99
+    pages = [(k, f"http://bad.net/es/{k}", inner) for k in range(20)] + [(100, "http://fan.org/", inner + "<a href='http://bad.net/'>")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert {r.host: r.verdict for r in H.host_verdicts(df).collect()} == {"bad.net": "block", "fan.org": "allow"}
+
+
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     assert H.query(spark, str(tmp_path)).count() == 0

@@ -3,7 +3,9 @@
 A url is judged by the longest rule that fits it; where none fits, by its host.
 Hosts are nodes; a link from a page of one host to another host is an edge, and
 links within a host (or, for a host without links, the host itself) are a loop
-that keeps its mass in place. Trust starts at hosts in proportion to their
+that keeps its mass in place. A link without an authority (a path, a query, a
+fragment) is within its page's host; one of a scheme without an authority, such
+as ``mailto:``, ``javascript:`` or ``data:``, leads to no host. Trust starts at hosts in proportion to their
 pages that a rule allows and follows links forward (personalised PageRank);
 distrust starts where rules block pages and follows links backward, to those
 who link there. A host is blocked if distrust is more than ``THRESHOLD`` of
@@ -41,6 +43,8 @@ RULES = (
 )
 DAMPING, THRESHOLD, TOLERANCE, ROUNDS, UNROLL = 0.85, 0.5, 1e-12, 60, 5
 LINK = r"""(?i)href\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]*)"""
+#: A reference with neither a scheme nor an authority; possessive, so that the look-ahead stands at its first character.
+LOCAL = r"""(?i)href\s*+=\s*+["']?+\s*+(?!//|[a-z][a-z0-9+.-]*:)"""
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -64,8 +68,11 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str
 
 def host_edges(pages: DataFrame) -> DataFrame:
     """(src, dst, n): links between hosts; n counts links, loops included."""
-    linked = pages.select(host_of(F.col("url")).alias("src"), F.explode(F.regexp_extract_all("html", F.lit(LINK), 1)).alias("dst"))
-    return linked.select("src", F.translate("dst", UPPER, LOWER).alias("dst")).groupBy("src", "dst").agg(F.count("*").alias("n"))
+    src = host_of(F.col("url"))
+    far = F.transform(F.regexp_extract_all("html", F.lit(LINK), 1), lambda x: F.struct(F.translate(x, UPPER, LOWER).alias("dst"), F.lit(1).alias("n")))
+    near = F.array(F.struct(src.alias("dst"), F.regexp_count("html", F.lit(LOCAL)).alias("n")))
+    linked = pages.where("html IS NOT NULL").select(src.alias("src"), F.explode(F.concat(far, near)).alias("x"))
+    return linked.where("x.n > 0").groupBy("src", "x.dst").agg(F.sum("x.n").alias("n"))
 
 
 def host_seeds(judged: DataFrame) -> DataFrame:
