@@ -97,3 +97,12 @@ def test_cycles_do_not_hang(spark):
     nodes = spark.createDataFrame([("a", "b", "A"), ("b", "a", "B"), ("c", "a", "C"), ("d", "gone", "D")], "id string, owner string, name string")
     got = {(r.id, r.ancestor) for r in hierarchy.ancestors(nodes).collect()}
     assert ("c", "b") in got and ("d", "d") in got
+
+
+def test_chains_deeper_than_64_are_walked_to_the_root(spark):
+    rows = [(k, k - 1 if k else None, f"n{k}") for k in range(150)]
+    nodes = spark.createDataFrame(rows, "id int, owner int, name string")
+    names = {r.id: r.qualified for r in hierarchy.qualified_names(nodes).collect()}
+    assert names[149] == "::".join(f"n{k}" for k in range(150))
+    nearest = {r.id: (r.ancestor, r.depth) for r in hierarchy.nearest_ancestor(nodes, nodes["owner"].isNull()).collect()}
+    assert nearest == {k: (0, k) for k in range(150)}

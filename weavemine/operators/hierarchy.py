@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from weavemine.session import materialize
 
 
-def ancestors(nodes: DataFrame, most: int = 64) -> DataFrame:
+def ancestors(nodes: DataFrame) -> DataFrame:
     """(id, ancestor, depth): every node's owners, itself at depth 0; stops at a cycle.
 
     Pointer doubling over the owner column: the number of rounds is the
@@ -17,7 +17,7 @@ def ancestors(nodes: DataFrame, most: int = 64) -> DataFrame:
     own = nodes.select("id", "owner").where("owner IS NOT NULL AND owner <> id").join(nodes.select(F.col("id").alias("owner")), "owner", "left_semi").select("id", "owner")
     paths = own.select("id", F.col("owner").alias("ancestor"), F.lit(1).alias("depth"))
     reach = 1
-    while reach < most:
+    while True:
         paths = materialize(paths, "ancestors")
         longest = paths.where(F.col("depth") == reach)
         if longest.isEmpty():
@@ -26,6 +26,8 @@ def ancestors(nodes: DataFrame, most: int = 64) -> DataFrame:
         more = more.select("id", "ancestor", (F.col("depth") + reach).alias("depth")).where("ancestor <> id")
         paths = paths.unionByName(more).groupBy("id", "ancestor").agg(F.min("depth").alias("depth"))
         reach *= 2
+        if reach >= 1 << 30:  # depths are ints
+            raise RuntimeError("a chain of owners is longer than depths can count")
     return nodes.select("id", F.col("id").alias("ancestor"), F.lit(0).alias("depth")).unionByName(paths)
 
 
