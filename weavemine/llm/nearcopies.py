@@ -5,7 +5,9 @@ of a count over the corpus first, then the digest); two sets that similar share
 a shingle among the first ``n - ceil(0.8 n) + 1`` of each, so only those are
 posted. Each posting's members are verified against its least member first;
 pairs of a posting that this leaves in different components are then verified
-one by one. So a posting of many near copies costs a row a member, nothing is
+one by one. Before two sets are brought together, their sizes and parity maps
+(a set's digests counted modulo 2 in ``PARITY`` cells) bound the similarity:
+maps differ in at most as many cells as the sets in members. So a posting of many near copies costs a row a member, nothing is
 capped, and every pair that reaches the similarity is linked.
 
 Words are split as in operator 10 (A-Z lowered, ASCII white space). Fewer words
@@ -24,12 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weavemine.operators.components import connected_components
-from weavemine.session import materialize
+from weavemine.session import materialize, release
 
 SHINGLE, SEED = 5, 42
 #: The least similarity, as a fraction.
 PART, WHOLE = 4, 5
 BUCKET_BITS = 16
+PARITY = 1024
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -64,6 +67,12 @@ def prefix(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return shingles[np.lexsort((shingles, counts[_buckets(shingles)]))[:first]]
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """PARITY bits as longs: which cells an odd number of the digests fall into."""
+    odd = np.bincount((shingles & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _read(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """(key, node) of every row, and the number of shingles in each bucket."""
     kind = docs.schema["key"].dataType.simpleString()
@@ -103,32 +112,38 @@ def _postings(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 
     posted = materialize(docs.select("text").mapInArrow(run, "s long, node long"), "near-posted")
     hubs = posted.groupBy("s").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top").drop("top")
-    return materialize(posted.join(hubs, "s"), "near-postings")
+    shared = materialize(posted.join(hubs, "s"), "near-postings")
+    release(posted)
+    return shared
 
 
 def _sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """(node, shingles) of the rows with the given keys, one a node."""
+    """(node, size, parity, shingles) of the rows with the given keys, one a node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for t in b.column(0):
                 s = shingle_set(t.as_py())
-                yield pa.RecordBatch.from_arrays([pa.array([node_of(s)], pa.int64()), pa.array([s.view(np.int64)], pa.list_(pa.int64()))], ["node", "shingles"])
+                lists = [pa.array([x], pa.list_(pa.int64())) for x in (parity(s), s.view(np.int64))]
+                yield pa.RecordBatch.from_arrays([pa.array([node_of(s)], pa.int64()), pa.array([len(s)], pa.int32()), *lists], ["node", "size", "parity", "shingles"])
 
     flat = docs.select("key.*", "text").toDF("none", "id", "h", "text")
     wanted = keys.select("key.*").toDF("none", "id", "h")
-    out = flat.join(wanted, ["none", "id", "h"], "left_semi").select("text").mapInArrow(run, "node long, shingles array<long>")
+    out = flat.join(wanted, ["none", "id", "h"], "left_semi").select("text").mapInArrow(run, "node long, size int, parity array<long>, shingles array<long>")
     return materialize(out.dropDuplicates(["node"]), "near-sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(src, dst): the pairs (a, b) whose similarity is at least PART / WHOLE."""
-    x = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    y = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    nx, ny = F.size("x"), F.size("y")
-    both = F.size(F.array_intersect("x", "y"))
-    fits = (WHOLE * F.least(nx, ny) >= PART * F.greatest(nx, ny)) & ((PART + WHOLE) * both >= PART * (nx + ny))
-    return pairs.join(x, "a").join(y, "b").where(fits).select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    x, y = (sets.select(F.col("node").alias(k), F.col("size").alias(f"n{k}"), F.col("parity").alias(f"p{k}")) for k in "ab")
+    total = F.col("na") + F.col("nb")
+    apart = F.aggregate(F.zip_with("pa", "pb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, n: s + n)
+    may = (WHOLE * F.least("na", "nb") >= PART * F.greatest("na", "nb")) & ((PART + WHOLE) * apart <= (WHOLE - PART) * total)
+    left = materialize(pairs.join(x, "a").join(y, "b").where(may).select("a", "b"), "near-pairs")
+    x, y = (sets.select(F.col("node").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
+    both = F.size(F.array_intersect("sa", "sb"))
+    alike = (PART + WHOLE) * both >= PART * (F.size("sa") + F.size("sb"))
+    return left.join(x, "a").join(y, "b").where(alike).select(F.col("a").alias("src"), F.col("b").alias("dst"))
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
