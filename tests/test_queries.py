@@ -61,6 +61,12 @@ def test_metrics_and_agreement(spark):
     assert b.mean == 0.75 and b.low <= 0.75 <= b.high
 
 
+def test_pairwise_kappa_corrects_for_chance(spark):
+    rows = [(1, 2, *v) for v in (["yy"] * 20 + ["yn"] * 5 + ["ny"] * 10 + ["nn"] * 15)] + [(1, 3, "y", "y")] * 2 + [(2, 3, "y", "n")] * 3
+    got = [tuple(r) for r in evaluation.pairwise_kappa(spark.createDataFrame(rows, "a int, b int, va string, vb string")).orderBy("a", "b").collect()]
+    assert got == [(1, 2, 50, 0.7, 0.4), (1, 3, 2, 1.0, 1.0), (2, 3, 3, 0.0, 0.0)]
+
+
 def test_lineage_kinds(spark):
     day = lambda n: n
     marks = [("base", i, day(10), "ann") for i in range(200)]

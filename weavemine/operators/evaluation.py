@@ -39,6 +39,19 @@ def kappa(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return total.crossJoin(chance).select(F.coalesce("total", F.lit(0)).alias("n"), F.round(po, 6).alias("agreement"), F.round(value, 6).alias("kappa"))
 
 
+def pairwise_kappa(pairs: DataFrame) -> DataFrame:
+    """(a, b, n, agreement, kappa) of each pair of raters from their verdicts (a, b, va, vb) on common tasks; kappa as above, over tasks both judged."""
+    joint = pairs.groupBy("a", "b", "va", "vb").agg(F.count("*").alias("n"))
+    both = joint.where("va IS NOT NULL AND vb IS NOT NULL")
+    sides = F.explode(F.array(F.struct(F.col("va").alias("v"), F.col("n").alias("na"), F.lit(0).cast("long").alias("nb")), F.struct(F.col("vb").alias("v"), F.lit(0).cast("long").alias("na"), F.col("n").alias("nb"))))
+    sums = both.select("a", "b", sides.alias("x")).groupBy("a", "b", "x.v").agg(F.sum("x.na").cast("double").alias("na"), F.sum("x.nb").cast("double").alias("nb"))
+    chance = sums.groupBy("a", "b").agg((F.sum(F.col("na") * F.col("nb")) / (F.sum("na") * F.sum("na"))).alias("pe"))
+    same = F.sum(F.when(F.col("va") == F.col("vb"), F.col("n")).when(F.col("va") != F.col("vb"), 0)) / F.sum(F.when(F.col("va").isNotNull() & F.col("vb").isNotNull(), F.col("n")))
+    rates = joint.groupBy("a", "b").agg(F.sum("n").alias("n"), same.alias("po")).join(chance, ["a", "b"], "left")
+    value = F.when(F.col("pe").isNull(), 0.0).when(F.col("pe") >= 1, 1.0).otherwise((F.col("po") - F.col("pe")) / F.nullif(1 - F.col("pe"), F.lit(0.0)))
+    return rates.select("a", "b", "n", F.round("po", 6).alias("agreement"), F.round(value, 6).alias("kappa"))
+
+
 def consensus(first: Column, second: Column, third: Column) -> Column:
     """Two raters' common grade, else the tie-breaker's, else the lower one; a single rater's own."""
     return F.when(first == second, first).when(first.isNull(), second).when(second.isNull(), first).otherwise(F.coalesce(third, F.least(first, second)))

@@ -6,8 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weavemine.functions import text as T
+from weavemine.operators import evaluation, threads
 from weavemine.operators import search as S
-from weavemine.operators import threads
 from weavemine.plans.registry import query
 from weavemine.plans.search_queries import BM25_SQL, OVERLAP, RANKED, TOKENS, scored_documents
 from weavemine.session import table
@@ -50,7 +50,7 @@ SELECT a, b, count(*) AS n, round(avg(CAST(same AS INTEGER)), 6) AS agreement FR
 def pairwise_kappa(spark, d):
     v = table(spark, d, "events").groupBy(F.expr("user_id div 10").alias("judge"), F.expr("event_id div 200").alias("task")).agg(F.min("event_type").alias("verdict"))
     p = v.toDF("a", "task", "va").join(v.toDF("b", "task", "vb"), "task").where("a < b")
-    return p.groupBy("a", "b").agg(F.count("*").alias("n"), F.round(F.avg((F.col("va") == F.col("vb")).cast("int")), 6).alias("agreement"))
+    return evaluation.pairwise_kappa(p)
 
 
 @query("split_measures", """WITH g AS (SELECT lang, source, count(*) AS n FROM documents GROUP BY lang, source), t AS (SELECT lang, sum(n) AS total FROM g GROUP BY lang)
