@@ -89,6 +89,14 @@ def test_a_host_of_inner_links_keeps_its_distrust_off_others(spark):
     assert {r.host: r.verdict for r in H.host_verdicts(df).collect()} == {"bad.net": "block", "fan.org": "allow"}
 
 
+def test_rounds_go_on_until_scores_settle(spark):
+    seeds = spark.createDataFrame([("a.org", 1_000_000, 0, 0), ("b.org", 0, 0, 0)], "host string, trust long, distrust long, open long")
+    edges = spark.createDataFrame([("a.org", "b.org", 1), ("b.org", "a.org", 1)], "src string, dst string, n long")
+    trust = {r.host: r.trust for r in H.propagate(seeds, edges).collect()}
+    a = 150_000 / (1 - 0.85**2)
+    assert abs(trust["a.org"] - a) < 1e-4 and abs(trust["b.org"] - 0.85 * a) < 1e-4
+
+
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     assert H.query(spark, str(tmp_path)).count() == 0

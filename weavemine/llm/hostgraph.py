@@ -14,8 +14,9 @@ distrust, trust and the share of its pages that no rule judged.
 Everything is DataFrame functions: links are taken from the html by one regular
 expression, pre-aggregated to host pairs before they are shuffled, and a round
 of propagation is one join and one aggregation of host pairs. Rounds go on
-until no score moves by more than ``TOLERANCE``, and every ``UNROLL`` of them
-are written to the shared folder.
+until ``UNROLL`` of them together move less than ``TOLERANCE`` of all seeds; every
+``UNROLL`` are written to the shared folder. Scores that do not settle are an
+error.
 
 Defined results: null url or one without ``://``: empty host and path; no rule
 fits an empty host, and the empty host takes part as a host of its own; null
@@ -41,7 +42,7 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-DAMPING, THRESHOLD, TOLERANCE, ROUNDS, UNROLL = 0.85, 0.5, 1e-12, 60, 5
+DAMPING, THRESHOLD, TOLERANCE, ROUNDS, UNROLL = 0.85, 0.5, 1e-12, 1000, 5
 LINK = r"""(?i)href\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]*)"""
 #: A reference with neither a scheme nor an authority; possessive, so that the look-ahead stands at its first character.
 LOCAL = r"""(?i)href\s*+=\s*+["']?+\s*+(?!//|[a-z][a-z0-9+.-]*:)"""
@@ -97,6 +98,7 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING) -> D
         "host", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.coalesce(c, F.lit(0)).cast("double").alias("base")) for k, c in enumerate(("trust", "distrust"))])).alias("x")
     )
     base = materialize(base.select("host", "x.kind", "x.base"), "host-base")
+    mass = base.agg(F.sum("base")).first()[0] or 0.0
     state = base.withColumn("score", F.col("base"))
     for _ in range(ROUNDS // UNROLL):
         was = state
@@ -107,10 +109,12 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING) -> D
                 "host", "kind", "base", ((1 - damping) * F.col("base") + damping * F.coalesce("got", F.lit(0.0))).alias("score")
             )
         state = materialize(state, "host-state")
-        moved = state.alias("a").join(was.alias("b"), ["host", "kind"]).agg(F.max(F.abs(F.col("a.score") - F.col("b.score")))).first()[0]
+        moved = state.alias("a").join(was.alias("b"), ["host", "kind"]).agg(F.sum(F.abs(F.col("a.score") - F.col("b.score")))).first()[0]
         release(was)
-        if not moved or moved <= TOLERANCE:
+        if not moved or moved <= TOLERANCE * mass:
             break
+    else:
+        raise RuntimeError("host scores did not settle")
     wide = state.groupBy("host").agg(
         F.sum(F.when(F.col("kind") == 0, F.col("score"))).alias("trust"), F.sum(F.when(F.col("kind") == 1, F.col("score"))).alias("distrust")
     )
