@@ -45,8 +45,12 @@ def paired_change(spark, d):
 
 
 @query("pairwise_kappa", """WITH v AS (SELECT user_id // 10 AS judge, event_id // 200 AS task, min(event_type) AS verdict FROM events GROUP BY ALL),
-p AS (SELECT a.judge AS a, b.judge AS b, a.verdict = b.verdict AS same FROM v a JOIN v b ON a.task = b.task AND a.judge < b.judge)
-SELECT a, b, count(*) AS n, round(avg(CAST(same AS INTEGER)), 6) AS agreement FROM p GROUP BY a, b""")
+p AS (SELECT a.judge AS a, b.judge AS b, a.verdict AS va, b.verdict AS vb FROM v a JOIN v b ON a.task = b.task AND a.judge < b.judge),
+t AS (SELECT a, b, count(*) AS n, avg(CAST(va = vb AS INTEGER)) AS po FROM p GROUP BY a, b),
+l AS (SELECT a, b, va AS v, count(*) AS na FROM p GROUP BY ALL), r AS (SELECT a, b, vb AS v, count(*) AS nb FROM p GROUP BY ALL),
+c AS (SELECT a, b, sum(na::DOUBLE * nb) AS both_ FROM l JOIN r USING (a, b, v) GROUP BY a, b),
+e AS (SELECT a, b, n, po, coalesce(both_, 0) / (n::DOUBLE * n) AS pe FROM t LEFT JOIN c USING (a, b))
+SELECT a, b, n, round(po, 6) AS agreement, round(CASE WHEN pe >= 1 THEN 1 ELSE (po - pe) / (1 - pe) END, 6) AS kappa FROM e""")
 def pairwise_kappa(spark, d):
     v = table(spark, d, "events").groupBy(F.expr("user_id div 10").alias("judge"), F.expr("event_id div 200").alias("task")).agg(F.min("event_type").alias("verdict"))
     p = v.toDF("a", "task", "va").join(v.toDF("b", "task", "vb"), "task").where("a < b")
@@ -107,7 +111,7 @@ def unique_names(spark, d):
     return p.withColumn("k", k).select("p_partkey", F.when(F.col("k") == 1, F.col("base")).otherwise(F.concat_ws("_", "base", "k")).alias("file"))
 
 
-@query("snippets", f"""WITH q AS (SELECT item_id, {TOKENS}[1] AS word FROM benchmark), t AS (SELECT doc_id, text, {TOKENS} AS w FROM documents),
+@query("snippets", f"""WITH q AS (SELECT DISTINCT item_id, unnest({TOKENS}) AS word FROM benchmark), t AS (SELECT doc_id, text, {TOKENS} AS w FROM documents),
 h AS (SELECT item_id, doc_id, word, position(word IN lower(text)) AS spot, text FROM t JOIN q ON list_contains(w, word))
 SELECT item_id, doc_id, substring(text, greatest(spot - 90, 1), 180 + length(word) - greatest(91 - spot, 0)) AS snippet FROM h""")
 def snippets(spark, d):

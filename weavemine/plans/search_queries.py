@@ -12,12 +12,11 @@ from weavemine.session import table
 
 W = "[a-z0-9]+(?:[-.][a-z0-9]+)*"
 TOKENS = f"regexp_extract_all(lower(coalesce(text, '')), '{W}')"
-#: CTEs up to ``scored`` (qid, doc, score rounded, matched) for documents against the first 8 words of each benchmark item.
+#: CTEs up to ``scored`` (qid, doc, score rounded, matched) for documents against the different words of each benchmark item.
 BM25_SQL = f"""t AS (SELECT doc_id AS doc, source, {TOKENS} AS w FROM documents),
 tot AS (SELECT count(*) AS n, avg(len(w)) AS avg_len FROM t),
 qd AS (SELECT item_id AS qid, {TOKENS} AS w FROM benchmark),
-qw AS (SELECT qid, word FROM (SELECT qid, word, row_number() OVER (PARTITION BY qid ORDER BY first_at) AS k FROM
-  (SELECT qid, word, min(spot) AS first_at FROM (SELECT qid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS spot FROM qd) GROUP BY qid, word)) WHERE k <= 8),
+qw AS (SELECT DISTINCT qid, unnest(w) AS word FROM qd),
 post AS (SELECT doc, len, word, count(*) AS tf FROM (SELECT doc, len(w) AS len, unnest(w) AS word FROM t) WHERE word IN (SELECT word FROM qw) GROUP BY doc, len, word),
 df AS (SELECT word, count(*) AS df FROM post GROUP BY word),
 scored AS (SELECT qid, doc, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * len / avg_len))), 6) AS score, count(*) AS matched
