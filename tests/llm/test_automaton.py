@@ -74,3 +74,11 @@ def test_rules_out_of_order_are_refused():
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert A.query(spark, str(tmp_path)).count() == 0
+
+
+def test_every_kind_of_code_point_splits_as_in_the_library():
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3000 or c % 11 == 0 or c in A.LOWER_NEW or A.NEWER_AT.match(chr(c)))]
+    texts = [f"ab{chr(c)}1{chr(c)}c" for c in points]
+    own = A.loaded(A.read_spec(PATH))
+    found = Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)
+    assert [hex(c) for c, t, f in zip(points, texts, found) if np.frombuffer(own.encode_bytes(t), np.uint32).tolist() != f.ids] == []

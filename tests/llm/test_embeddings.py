@@ -63,9 +63,9 @@ def test_estimates_are_unbiased_and_bounds_hold():
     errors = []
     for seed in range(20):
         turn = E.rotation(64, seed)
-        ca, cb = E.Codes(a, turn), E.Codes(b, turn)
-        errors.append((ca.estimates(cb)[1] - true)[:150, :150].diagonal())
-        i, j = ca.candidates(cb, 0.93)
+        bits, factor = E.encode(a, turn)
+        errors.append((E.estimates(bits, factor, b @ turn.T) - true)[:150, :150].diagonal())
+        i, j = E.candidates(bits, factor, b @ turn.T, 0.93)
         assert set(zip(*np.nonzero(true >= 0.93))) <= set(zip(i.tolist(), j.tolist()))
         assert len(i) < 0.02 * true.size
     assert abs(np.mean(errors)) < 0.01

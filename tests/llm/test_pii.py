@@ -41,6 +41,44 @@ def test_scans_are_linear():
         P.find_spans(text, P.trained())
 
 
+def test_links_of_many_mentions():
+    """Any two mentions that repeat each other are connected, by few edges a mention."""
+    for text in ("212-555-3729 and 415-555-3729 or 555-3729 then 212-555-3729 end " * 5000, "+1 (212) 555-3729 " + "555-3729 or 1-212-555-3729 " * 10000):
+        nodes = P.nodes_of(text, P.base_spans(text))
+        skip = P.edges_of(nodes)[1]
+        assert len(nodes) >= 20_000 and len(skip) <= 4 * len(nodes)
+    nodes = P.nodes_of(t := "212-555-3729 one 415-555-3729 two 555-3729 three 212-555-3729 four 999-1234", P.base_spans(t))
+    skip = P.edges_of(nodes)[1]
+    assert (0, 3) in skip and any(2 in e and (0 in e or 3 in e) for e in skip) and any(2 in e and 1 in e for e in skip)
+    assert not any(4 in e for e in skip)
+
+
+def test_messages_give_the_exact_marginals_of_a_tree():
+    import itertools
+
+    import numpy as np
+
+    field = P.trained()
+    for text in ("call 555-3729 or 212-555-3729", "x 555-3729 " + "word " * 60 + "212-555-3729 " + "word " * 60 + "999-1234", "12.12.12.12 555-3729"):
+        nodes = P.nodes_of(text, P.base_spans(text))
+        chain, skip = P.edges_of(nodes)
+        chain = [e for e in chain if e not in skip]
+        model = P.Field(field.w, field.chain, field.skip)
+        was, P.edges_of = P.edges_of, lambda _, c=chain, s=skip: (c, s)
+        try:
+            got = model.marginals(nodes)
+        finally:
+            P.edges_of = was
+        score = np.array([field.w[P.unary(n)].sum(axis=0) if not n.kind else np.where(np.arange(5) == P.LABELS.index(n.kind), 0.0, -50.0) for n in nodes])
+        want = np.zeros((len(nodes), 5))
+        for labels in itertools.product(range(5), repeat=len(nodes)):
+            z = sum(score[i, k] for i, k in enumerate(labels))
+            z += sum(field.chain[labels[i], labels[j]] for i, j in chain) + sum(field.skip[labels[i], labels[j]] for i, j in skip)
+            for i, k in enumerate(labels):
+                want[i, k] += np.exp(z)
+        assert np.allclose(got, want / want.sum(axis=1, keepdims=True), atol=0.01)
+
+
 def test_repeated_mentions_are_added_and_strangers_left():
     text = "Call +1 (799) 555-3729 now. " + "filler words " * 60 + "again 799-555-3729 or 555-3729, mail ann.lee@x.example.com; ann.lee knows 555-1234 and 20250101."
     base, spans = P.find_spans(text, P.trained())
@@ -82,6 +120,7 @@ def test_query(spark, tmp_path):
         s = ",".join(f"{k}:{a}:{z}" for k, a, z in base)
         want.append((d, n["email"], n["ip"], n["card"], n["phone"], hashlib.sha256(s.encode()).hexdigest()))
     assert [g[:6] for g in got] == sorted(want, key=str)
+    assert all(g[7] == (g[6] != "") for g in got)
     docs = spark.createDataFrame([(1, "a@b.c", 5, "k"), (2, None, None, None)], "doc_id long, text string, n_chars long, base string")
     assert [tuple(r) for r in P.redact(docs).orderBy("doc_id").collect()] == [(1, "<email>", 7, "k"), (2, None, None, None)]
 

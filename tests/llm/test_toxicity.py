@@ -43,11 +43,28 @@ def test_later_models_are_trained_on_out_of_fold_probabilities():
     rows = corpus(300, 2)
     poor = [1 - q for _, _, q, _ in rows]
     toxic = [x for *_, x in rows]
-    chain = T.train([t for _, t, _, _ in rows], dict(zip(T.CATEGORIES, (poor, toxic, [a & b for a, b in zip(poor, toxic)]))), [d % 5 for d, *_ in rows])
+    chain = T.train(T.Hits.of([t for _, t, _, _ in rows]), dict(zip(T.CATEGORIES, (poor, toxic, [a & b for a, b in zip(poor, toxic)]))), [d % 5 for d, *_ in rows])
     assert [len(m.weights) - len(m.vocabulary) for m in chain.models] == [1, 2, 3]
     assert chain.models[2].weights[-1] > 0  # toxic documents make toxic_poor likelier
 
 
+def test_features_are_chosen_inside_folds_and_from_both_classes():
+    texts = ["vile a"] * 20 + ["kind a"] * 60 + ["secret a"] * 20
+    y, use = np.array([1.0] * 20 + [0.0] * 60 + [1.0] * 20), np.array([True] * 80 + [False] * 20)
+    hits = T.Hits.of(texts)
+    chosen = set(hits.choose(y, use, 1500).tolist())
+    assert set(T.slots("vile")) <= chosen and set(T.slots("kind")) <= chosen
+    assert not chosen & set(T.slots("secret")) and not chosen & set(T.slots("a"))
+
+
+def test_sample_is_bounded_where_ids_repeat(spark):
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(50)] + [(2, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (1, 0, 1), (2, 1, 1)], "doc_id long, quality int, toxic int")
+    rows = T.sample_counts(docs, labels, 30).collect()
+    assert len(rows) == 30 and "text" not in rows[0].asDict()
+    assert T.sample_counts(docs, labels, 1000).count() == 101
+
+
 def test_no_labels_one_class_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")

@@ -11,15 +11,18 @@ stood at both edges while the rules ran (the edge chains kept by the gadgets),
 so a transition is worked out the first time it is wanted and looked up in the
 table afterwards: the full table over all pairs of tokens would be 2.4e9 cells.
 
-Words are encoded by table-driven steps along open arcs, and what an unspaced
-run of text encodes to is kept in a bounded memo of two generations. Decoding
-emits the arc labels.
+A word is read once, from left to right. What is read of it after each symbol
+has an encoding of its own, so exactly one of the labels that end there leaves
+an earlier state by an open arc; that arc's state is entered in the row of
+states, and nothing is taken back. The arcs from the last state back to the
+start are the encoding. What an unspaced run of text encodes to is kept in a
+bounded memo of two generations. Decoding emits the arc labels.
 
 Defined results: null is read as the empty text; an empty text has no tokens;
 texts of any length are read in pieces cut at white space, where no token ends
 or begins a match; the vocabulary file is read by the driver and its rules
 travel with the job, so executors need no file. Repeated rows are encoded each;
-other columns are carried along unread.
+an empty table gives no rows; other columns are carried along unread.
 """
 
 from __future__ import annotations
@@ -42,8 +45,26 @@ from weavemine.session import table
 NAME = "op8_bpe_automaton"
 START = -1
 PIECE = 1 << 20
-MEMO, ARCS = 250_000, 1_000_000
+MEMO, ARCS = 150_000, 400_000
 CONTROLS = re.compile("[\x1c-\x1f]")
+#: Code points, first and last, that the regex module's Unicode tables have as letters or numbers and the
+#: tokenizers library's, which are those of Unicode 16, do not.
+NEWER = (
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F), (0x209D, 0x209F), (0xA7CE, 0xA7CF),
+    (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2), (0xA7F1, 0xA7F1), (0xAB6C, 0xAB6D), (0x107BB, 0x107BF), (0x10940, 0x10959),
+    (0x10EC5, 0x10EC7), (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A), (0x11DB0, 0x11DDB), (0x11DE0, 0x11DE9), (0x11DF1, 0x11DF1), (0x1246F, 0x1246F),
+    (0x12475, 0x1247F), (0x12550, 0x12686), (0x16EA0, 0x16EB8), (0x16EBB, 0x16ED3), (0x16FF2, 0x16FF6), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA),
+    (0x18D09, 0x18D20), (0x18D80, 0x18DF2), (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168), (0x1D6A6, 0x1D6A6),
+    (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF), (0x1E6C0, 0x1E6DE), (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5),
+    (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4), (0x1E6FE, 0x1E6FF), (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479),
+    (0x3D000, 0x3FC3F),
+)
+NEWER_AT = re.compile("[" + "".join(f"{chr(a)}-{chr(z)}" for a, z in NEWER) + "]")
+SYMBOL = "\u2603"  # neither letter, number nor white space
+#: Lower case of the capitals that are new in Unicode 16 and 17, which Python's tables do not know.
+LOWER_NEW = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+LOWER_NEW |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
+CAPITAL_NEW = re.compile("[" + "".join(map(chr, LOWER_NEW)) + "]")
 
 
 def byte_symbols() -> list[str]:
@@ -80,11 +101,11 @@ class MergeAutomaton:
         self.table: dict[int, bool] = {}
         for k, (u, v, w) in enumerate(pairs):
             self._gadget(k, u, v, w, never)
-        #: By its first four symbols, the longest label that begins so; labels of up to three symbols need no entry.
+        #: By its last four symbols, the longest label that ends so; labels of up to three symbols need no entry.
         self.far: dict[str, int] = {}
         for label in self.open:
             label = label.removesuffix(suffix) if suffix else label
-            self.far[label[:4]] = max(self.far.get(label[:4], 3), len(label))
+            self.far[label[-4:]] = max(self.far.get(label[-4:], 3), len(label))
 
     def _gadget(self, k: int, u: int, v: int, w: int, never: int) -> None:
         if u not in self.left or v not in self.left:
@@ -121,36 +142,24 @@ class MergeAutomaton:
         return hit
 
     def encode_word(self, word: str) -> list[int]:
-        """Ids of one pre-split word, already in byte symbols.
-
-        Walks open arcs, longest label first; one path only spells the word, so
-        a walk that gets stuck steps back to the next shorter label.
-        """
-        n, open_, step, suffix, far = len(word), self.open, self.step, self.suffix, self.far.get
-        path: list[int] = []
-        begins, tries = [0], [n]  # where each arc of the path begins, and where the next one tried there ends
-        stuck: set[tuple[int, int]] = set()
-        while begins[-1] < n:
-            i, state = begins[-1], path[-1] if path else START
-            j = min(tries[-1], i + far(word[i : i + 4], 3))
-            while j > i:
-                t = open_.get(word[i:j] + suffix if j == n else word[i:j])
-                if t is not None and (j, t) not in stuck and (state == START or step(state, t)):
+        """Ids of one pre-split word, already in byte symbols."""
+        n, open_, step, far = len(word), self.open, self.step, self.far.get
+        states, came = [START], [0]  # after each symbol: the token whose arc ends there, and the place where it begins
+        for j in range(1, n + 1):
+            tail = self.suffix if j == n else ""
+            for i in range(j - min(j, far(word[max(0, j - 4) : j], 3)), j):
+                t = open_.get(word[i:j] + tail)
+                if t is not None and (i == 0 or step(states[i], t)):
                     break
-                j -= 1
-            if j > i:
-                tries[-1] = j - 1
-                path.append(t)
-                begins.append(j)
-                tries.append(n)
             else:
-                if not path:
-                    raise ValueError(f"no path spells {word!r}")
-                stuck.add((i, state))
-                path.pop()
-                begins.pop()
-                tries.pop()
-        return path
+                raise ValueError(f"no path spells {word!r}")
+            states.append(t)
+            came.append(i)
+        path, j = [], n
+        while j:
+            path.append(states[j])
+            j = came[j]
+        return path[::-1]
 
 
 class Tokenizer:
@@ -182,6 +191,8 @@ class Tokenizer:
     @staticmethod
     def normal(text: str) -> str:
         text = unicodedata.normalize("NFC", text)
+        if CAPITAL_NEW.search(text):
+            text = text.translate(LOWER_NEW)
         return text.lower() if "Σ" not in text else "".join([c.lower() for c in text])  # the final sigma rule isn't applied
 
     @staticmethod
@@ -199,7 +210,7 @@ class Tokenizer:
         ids = self.older.get(chunk)
         if ids is None:
             symbols, out = self.symbols, array("I")
-            for w in self.words.findall(chunk):
+            for w in self._split(chunk):
                 ids = self.memo.get(w) if w != chunk else None
                 if ids is not None:
                     out.frombytes(ids)
@@ -213,6 +224,12 @@ class Tokenizer:
             self.memo[chunk] = ids
         return ids
 
+    def _split(self, chunk: str) -> list[str]:
+        if not NEWER_AT.search(chunk):
+            return self.words.findall(chunk)
+        known = NEWER_AT.sub(SYMBOL, chunk)
+        return [chunk[m.start() : m.end()] for m in self.words.finditer(known)]
+
     def encode_bytes(self, text: str | None) -> bytes:
         """The ids as unsigned 32-bit integers in this machine's byte order."""
         out: list[bytes] = []

@@ -2,7 +2,7 @@
 
 Every unit vector o is turned by a fixed random rotation and stored as the
 signs of its coordinates, a code ō on the sphere, with the correction factor
-f = <ō, o>. For another vector q, <ō, q> / f estimates <o, q> without bias, and
+f = <ō, o>; both are stored with the vector, once. For another vector q, <ō, q> / f estimates <o, q> without bias, and
 since q cannot be nearer to o than the angle between q and ō less that between
 ō and o, <o, q> is at most cos(angle(ō, q) - arccos f). This bound holds with
 confidence 1 (on 64 coordinates it is as tight as one of three standard errors),
@@ -25,10 +25,13 @@ gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
 from weavemine.operators.components import connected_components
 from weavemine.session import materialize, table
@@ -44,43 +47,44 @@ def rotation(d: int, seed: int = SEED) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-class Codes:
-    """Sign codes of unit vectors with their correction factors."""
+def encode(unit: np.ndarray, turn: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Sign codes (packed bits, a row each) of unit vectors after the rotation, and their correction factors."""
+    turned = unit @ (rotation(unit.shape[1]) if turn is None else turn).T
+    return np.packbits(turned >= 0, axis=1), np.abs(turned).sum(axis=1) / np.sqrt(unit.shape[1])
+
+
+def units(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    norm = np.sqrt(np.einsum("ij,ij->i", v, v))
+    return v / norm[:, None], norm
 
-    def __init__(self, unit: np.ndarray, turn: np.ndarray):
-        turned = unit @ turn.T
-        self.bits = np.packbits(turned >= 0, axis=1)
-        self.factor = np.abs(turned).sum(axis=1) / np.sqrt(unit.shape[1])
-        self.turned = turned.astype(np.float32)
-        self.d = unit.shape[1]
 
-    def estimates(self, of: "Codes") -> tuple[np.ndarray, np.ndarray]:
-        """<ō, q> for all codes ō here and vectors q there, and the unbiased estimates of <o, q> made of them."""
-        signs = np.unpackbits(self.bits, axis=1, count=self.d).astype(np.float32) * 2 - 1
-        x = (signs @ of.turned.T) / np.float32(np.sqrt(self.d))
-        return x, x / self.factor[:, None].astype(np.float32)
+def estimates(bits: np.ndarray, factor: np.ndarray, turned: np.ndarray) -> np.ndarray:
+    """Unbiased estimates of <o, q> for all codes of vectors o and rotated unit vectors q."""
+    d = turned.shape[1]
+    signs = np.unpackbits(bits, axis=1, count=d).astype(np.float32) * 2 - 1
+    return (signs @ turned.astype(np.float32).T) / (np.float32(np.sqrt(d)) * factor[:, None].astype(np.float32))
 
-    def candidates(self, of: "Codes", threshold: float) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs whose upper confidence bound reaches the threshold."""
-        _, estimate = self.estimates(of)
-        widest = np.minimum(np.pi, np.arccos(threshold) + np.arccos(np.clip(self.factor, -1, 1)))
-        least = np.cos(widest) / self.factor  # the bound, solved for the estimate
-        return np.nonzero(estimate >= (least - SLACK)[:, None])
 
+def candidates(bits: np.ndarray, factor: np.ndarray, turned: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs whose upper confidence bound reaches the threshold."""
+    widest = np.minimum(np.pi, np.arccos(threshold) + np.arccos(np.clip(factor, -1, 1)))
+    least = np.cos(widest) / factor  # the bound, solved for the estimate
+    return np.nonzero(estimates(bits, factor, turned) >= (least - SLACK)[:, None])
 
-def linked_pairs(a: np.ndarray, b: np.ndarray | None, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers (i, j) of the pairs with cosine of ``threshold`` or more; within ``a`` (i < j) if ``b`` is None."""
-    turn = rotation(a.shape[1])
-    na = np.sqrt(np.einsum("ij,ij->i", a, a))
-    ca = Codes(a / na[:, None], turn)
+
+def linked_pairs(a: np.ndarray, b: np.ndarray | None, threshold: float = THRESHOLD, codes: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers (i, j) of the pairs with cosine of ``threshold`` or more; within ``a`` (i < j) if ``b`` is None.
+
+    ``codes`` are the stored codes and factors of ``a``; only the vectors they are compared with are rotated here.
+    """
+    ua, na = units(a)
+    bits, factor = encode(ua) if codes is None else codes
+    ub, nb = (ua, na) if b is None else units(b)
+    i, j = candidates(bits, factor, ub @ rotation(ub.shape[1]).T, threshold)
     if b is None:
-        i, j = ca.candidates(ca, threshold)
         i, j = np.minimum(i, j), np.maximum(i, j)
         i, j = np.unique(np.stack([i[i < j], j[i < j]]), axis=1)
-        b, nb = a, na
-    else:
-        nb = np.sqrt(np.einsum("ij,ij->i", b, b))
-        i, j = ca.candidates(Codes(b / nb[:, None], turn), threshold)
+        b = a
     keep = []
     for k in range(0, len(i), 1 << 16):
         x, y = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
@@ -89,6 +93,33 @@ def linked_pairs(a: np.ndarray, b: np.ndarray | None, threshold: float = THRESHO
     return i[ok], j[ok]
 
 
+def _matrix(column: pa.ChunkedArray | pa.Array, rows: int) -> np.ndarray:
+    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    flat = [c.flatten().to_numpy(zero_copy_only=False).astype(np.float64) for c in chunks]
+    return np.concatenate(flat).reshape(rows, -1)
+
+
+def with_codes(classes: DataFrame) -> DataFrame:
+    """``classes`` (with ``embedding``, of d components) and the stored ``code`` and ``factor`` of each."""
+    shape = StructType([*classes.schema.fields, StructField("code", BinaryType()), StructField("factor", DoubleType())])
+    place = classes.columns.index("embedding")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            codes: list[bytes] = []
+            factors: list[float] = []
+            sizes = b.column(place).value_lengths().to_numpy(zero_copy_only=False)
+            ends = np.nonzero(np.diff(sizes))[0] + 1  # runs of equal length
+            for begin, end in zip([0, *ends], [*ends, b.num_rows]):
+                if end > begin:
+                    bits, factor = encode(units(_matrix(b.column(place).slice(begin, end - begin), end - begin))[0])
+                    codes += [x.tobytes() for x in bits]
+                    factors += factor.tolist()
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(codes, pa.binary()), pa.array(factors, pa.float64())], [f.name for f in shape])
+
+    return classes.mapInArrow(run, shape)
+
+
 def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """The least row each row is joined with."""
     label = np.arange(n)
@@ -107,14 +138,14 @@ def _piece(threshold: float):
         t = t.sort_by("ckey")
         mine = t.column("block").to_numpy() == t.column("lo")[0].as_py()
         same = t.column("lo")[0].as_py() == t.column("hi")[0].as_py()
-        flat = t.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        v = flat.reshape(t.num_rows, -1)
-        weight = t.column("n").to_numpy()
+        v = _matrix(t.column("embedding"), t.num_rows)
+        bits = np.array([np.frombuffer(x, np.uint8) for x in t.column("code").to_pylist()])
+        factor, weight = t.column("factor").to_numpy(), t.column("n").to_numpy()
         if same:
-            i, j = linked_pairs(v, None, threshold)
+            i, j = linked_pairs(v, None, threshold, (bits, factor))
         else:
             x, y = np.nonzero(mine)[0], np.nonzero(~mine)[0]
-            i, j = linked_pairs(v[x], v[y], threshold) if len(x) and len(y) else (np.zeros(0, int), np.zeros(0, int))
+            i, j = linked_pairs(v[x], v[y], threshold, (bits[x], factor[x])) if len(x) and len(y) else (np.zeros(0, int), np.zeros(0, int))
             i, j = x[i], y[j]
         links = np.bincount(i, weight[j], t.num_rows) + np.bincount(j, weight[i], t.num_rows)
         root = _roots(t.num_rows, i, j)
@@ -135,13 +166,13 @@ def classes_of(vectors: DataFrame) -> DataFrame:
 
 
 def links(classes: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """(ckey, links, root) from every piece of work; classes have (ckey, label, d, embedding, n)."""
+    """(ckey, links, root) from every piece of work; classes have (ckey, label, d, embedding, code, factor, n)."""
     sizes = materialize(classes.groupBy("label", "d").agg(F.count("*").alias("m")).where("m > 1"), "vector-sizes")
     spread = classes.join(sizes, ["label", "d"]).withColumn("blocks", F.ceil(F.col("m") / block).cast("int"))
     spread = spread.withColumn("block", F.pmod(F.xxhash64("ckey"), F.col("blocks")).cast("int"))
     dealt = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-    pieces = dealt.select("label", "d", "lo", "hi", "block", "ckey", "n", "embedding").groupBy("label", "d", "lo", "hi")
+    pieces = dealt.select("label", "d", "lo", "hi", "block", "ckey", "n", "embedding", "code", "factor").groupBy("label", "d", "lo", "hi")
     return pieces.applyInArrow(_piece(threshold), "ckey string, links long, root string")
 
 
@@ -149,9 +180,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block: int
     """(vec_id, n_links, component_id, kept) for every row."""
     rows = classes_of(vectors)
     classes = rows.where("ckey IS NOT NULL").groupBy("ckey").agg(
-        F.first("label").alias("label"), F.first("embedding").cast("array<double>").alias("embedding"), F.count("*").alias("n"), F.min("vec_id").alias("least")
+        F.first("label").alias("label"), F.first("embedding").alias("embedding"), F.count("*").alias("n"), F.min("vec_id").alias("least")
     )
-    classes = materialize(classes.withColumn("d", F.size("embedding")), "vector-classes")
+    classes = materialize(with_codes(classes.withColumn("d", F.size("embedding"))), "vector-classes")
     found = materialize(links(classes.drop("least"), threshold, block), "vector-links")
     cc = materialize(connected_components(found.select(F.col("ckey").alias("src"), F.col("root").alias("dst"))), "vector-components")
     counted = found.groupBy("ckey").agg(F.sum("links").alias("links"))

@@ -15,10 +15,18 @@ The field's weights are trained here, by pseudo-likelihood on generated
 documents (``TRAIN`` of them from a fixed seed, so training does not depend on
 the corpus), once per process.
 
+Documents without candidates are settled by the patterns; all others, with or
+without a base span, are scored by the field. A candidate group has ``DIGITS``
+digits; names of under ``NAME_LEAST`` letters, and names without a dot, underscore
+or digit, are words like others and are not searched for.
+
 Defined results: null text is empty; empty text has no spans; spans are code
 points, end exclusive, and never overlap a base span unless both are base;
-repeated rows give equal rows; other columns are carried by ``redact`` and
-ignored by ``find``. Every scan is linear in the text.
+a kind as likely as ``SURE`` is added, and of kinds that are equally likely the
+first in the order of ``LABELS``;
+repeated rows give equal rows; an empty table gives no rows; other columns are
+carried by ``redact`` and ignored by ``find``. Scans are linear in the text, and
+its mentions are sorted, so very long texts take hardly more than their length.
 """
 
 from __future__ import annotations
@@ -41,6 +49,8 @@ NAME = "op6_skip_chain_pii"
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 TRAIN, SEED, ROUNDS, SURE = 400, 7, 12, 0.5
+#: Code points between neighbours that still share a transition; digits of a candidate group, least and most; least length of a name.
+NEAR, DIGITS, NAME_LEAST = 200, (7, 19), 4
 
 # Possessive repeats and look-behinds change no match; they keep scans linear.
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -120,9 +130,9 @@ def nodes_of(text: str, base: list[tuple[str, int, int]]) -> list[Node]:
     """Base spans and further candidates, in text order; candidates overlap nothing."""
     out = [Node(a, z, text[a:z], k, text[a:z].partition("@")[0].lower() if k == "email" else _digits(text[a:z]), k != "email") for k, a, z in base]
     taken = sorted((a, z) for _, a, z in base)
-    found = [(m.start(), m.end(), True) for m in _GROUPS.finditer(text) if m.end() - m.start() >= 7 and 7 <= len(_digits(m[0])) <= 19]
+    found = [(m.start(), m.end(), True) for m in _GROUPS.finditer(text) if m.end() - m.start() >= DIGITS[0] and DIGITS[0] <= len(_digits(m[0])) <= DIGITS[1]]
     found += [(m.start(), m.end(), False) for m in _AT.finditer(text)] if "@" in text or "at)" in text or "at]" in text else []
-    names = {n.key for n in out if n.kind == "email" and len(n.key) >= 4 and re.search(r"[._0-9]", n.key)}
+    names = {n.key for n in out if n.kind == "email" and len(n.key) >= NAME_LEAST and re.search(r"[._0-9]", n.key)}
     if names:
         found += [(m.start(), m.end(), False) for m in _NAME.finditer(text) if m[0].lower() in names]
     k = 0
@@ -152,30 +162,50 @@ FEATURES = 20
 
 
 def edges_of(nodes: list[Node]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Chain edges between neighbours, and skip edges along each run of nodes that repeat each other.
-
-    A run is linked as a path with every member tied to the run's first base
-    span too, so there are at most two edges a node however often it recurs.
+    """Chain edges between neighbours, and skip edges between nodes that repeat each other, wherever they stand.
+
+    Nodes with one key are linked as a path in text order, with every member tied
+    to the first one that is a base span too. Digits that end other digits are
+    linked by the keys: each key's first node to the first of the longest key that
+    ends it, and of the longest base span with that ending. So there are at most
+    four edges a node however often it recurs, any two nodes that repeat each other
+    are connected, and sorting is all that takes more than linear time.
     """
-    chain = [(i, i + 1) for i in range(len(nodes) - 1) if nodes[i + 1].start - nodes[i].end <= 200]
-    runs: dict[tuple, list[int]] = defaultdict(list)
+    chain = [(i, i + 1) for i in range(len(nodes) - 1) if nodes[i + 1].start - nodes[i].end <= NEAR]
+    runs: dict[tuple[bool, str], list[int]] = defaultdict(list)
     for i, n in enumerate(nodes):
-        runs[n.numeric, n.key[-7:] if n.numeric else n.key].append(i)
-    skip = []
-    for (numeric, _), run in runs.items():
-        if len(run) < 2:
-            continue
-        anchors = [i for i in run if nodes[i].kind]
+        runs[n.numeric, n.key].append(i)
+    skip: set[tuple[int, int]] = set()
+
+    def tie(i: int, j: int) -> None:
+        if i != j:
+            skip.add((min(i, j), max(i, j)))
+
+    for run in runs.values():
         for i, j in zip(run, run[1:]):
-            if not numeric or nodes[i].key.endswith(nodes[j].key) or nodes[j].key.endswith(nodes[i].key):
-                skip.append((i, j))
-        longest = max(anchors, key=lambda i: (len(nodes[i].key), -i), default=None)
-        if longest is not None:
+            tie(i, j)
+        anchor = next((i for i in run if nodes[i].kind), None)
+        if anchor is not None:
             for i in run:
-                alike = not numeric or nodes[longest].key.endswith(nodes[i].key) or nodes[i].key.endswith(nodes[longest].key)
-                if i != longest and alike and (min(i, longest), max(i, longest)) not in skip[-len(run) :]:
-                    skip.append((min(i, longest), max(i, longest)))
-    return chain, skip
+                tie(i, anchor)
+    # read backwards, an ending is a beginning: in sorted order the keys that end a key are on the stack when it comes
+    stack: list[tuple[str, list[int]]] = []
+    widest: dict[str, int] = {}
+    for backward, run in sorted((key[::-1], run) for (numeric, key), run in runs.items() if numeric):
+        while stack and not backward.startswith(stack[-1][0]):
+            stack.pop()
+        if stack:
+            tie(run[0], stack[-1][1][0])
+        stack.append((backward, run))
+        anchor = next((i for i in run if nodes[i].kind), None)
+        if anchor is not None:
+            for ending, _ in stack[:-1]:
+                if len(nodes[anchor].key) > len(nodes[widest[ending]].key if ending in widest else ""):
+                    widest[ending] = anchor
+    for (numeric, key), run in runs.items():
+        if numeric and key[::-1] in widest:
+            tie(run[0], widest[key[::-1]])
+    return chain, sorted(skip)
 
 
 @dataclass
@@ -373,4 +403,5 @@ def redact(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> Dat
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = find(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", *[f"n_{k}" for k in KINDS], F.sha2("base", 256).alias("base_sha256"), "spans")
+    found = (F.col("spans") != "").alias("personal")
+    return out.select("doc_id", *[f"n_{k}" for k in KINDS], F.sha2("base", 256).alias("base_sha256"), "spans", found)

@@ -5,30 +5,36 @@ and ``toxic_poor`` (both). Each is a logistic model over word and word-prefix
 counts of the document plus the probabilities of the categories before it. So
 that a later model learns from predictions like those it will see, the earlier
 probabilities it is trained on are out of fold: made by models that did not see
-the document. Scoring runs the chain of the models fitted to the whole sample.
+the document, neither when they were fitted nor when their features were chosen.
+Scoring runs the chain of the models fitted to the whole sample.
 
 The models are fitted on the driver to at most ``SAMPLE`` labelled documents
-(the rows with the least hash of their id, so the choice does not depend on
-partitioning); the labels of that sample are what is broadcast to fetch their
-texts. Scoring reads every document whole and moves nothing between machines.
+(those with the least hash of their id, so the choice does not depend on
+partitioning; also where ids repeat). What reaches the driver of a text is its
+counts, in one of ``2 ** SLOT_BITS`` slots a feature, never the text. Scoring reads
+every document whole and moves nothing between machines.
 
 Defined results: null or empty text has no features and gets the models' base
 rate; null ids and repeated rows are scored like any row; labels that are null
 are not used; repeated labels count each; with no labelled document or only one
-class, a category's probability is its smoothed share. Other columns are
-carried along unread by ``reject`` and ignored by ``score``.
+class, a category's probability is its smoothed share; a document is toxic at
+``THRESHOLD`` and above; texts of any length are counted whole; an empty table
+gives no rows. Other columns are carried along unread by ``reject`` and ignored
+by ``score``.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from array import array
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +44,7 @@ NAME = "op9_toxicity_chain"
 CATEGORIES = ("poor", "toxic", "toxic_poor")
 SAMPLE, FOLDS, FEATURES, THRESHOLD = 6000, 5, 1500, 0.5
 PREFIXES = (4, 5, 6, 7)
+SLOT_BITS = 20
 WORD = re.compile(r"\w+")
 
 
@@ -49,20 +56,26 @@ def counts(text: str | None) -> Counter:
     return Counter(WORD.findall((text or "").lower()))
 
 
-def features(text: str | None) -> dict[str, int]:
-    out: dict[str, int] = defaultdict(int)
-    for w, n in counts(text).items():
-        for f in word_features(w):
-            out[f] += n
+def slots(word: str) -> list[int]:
+    """Where the features of a word are counted."""
+    return [crc32(f.encode("utf-8", "surrogatepass")) & ((1 << SLOT_BITS) - 1) for f in word_features(word)]
+
+
+def features(words: Counter) -> dict[int, int]:
+    """Counts by slot."""
+    out: dict[int, int] = {}
+    for w, n in words.items():
+        for s in slots(w):
+            out[s] = out.get(s, 0) + n
     return out
 
 
 @dataclass
 class Linear:
-    """Logistic model over chosen features (log of 1 + count), the document's log length and earlier probabilities."""
+    """Logistic model over chosen slots (log of 1 + count), the document's log length and earlier probabilities."""
 
-    vocabulary: dict[str, int]
-    weights: np.ndarray
+    vocabulary: dict[int, int]
+    weights: list[float]
     bias: float
 
 
@@ -77,78 +90,67 @@ class Chain:
         """(model, weight index) pairs of a word; memo of bounded size."""
         if len(self._words) >= 200_000:
             self._words.clear()
-        fs = word_features(word)
-        hit = self._words[word] = tuple((m, i) for m, model in enumerate(self.models) for f in fs if (i := model.vocabulary.get(f)) is not None)
+        at = slots(word)
+        hit = self._words[word] = tuple((m, i) for m, model in enumerate(self.models) for s in at if (i := model.vocabulary.get(s)) is not None)
         return hit
 
     def probabilities(self, text: str | None) -> list[float]:
         words = counts(text)
-        found: list[dict[int, int]] = [defaultdict(int) for _ in self.models]
+        found: list[dict[int, int]] = [{} for _ in self.models]
         get = self._words.get
         for w, n in words.items():
             hits = get(w)
             for m, i in self._hits(w) if hits is None else hits:
-                found[m][i] += n
-        size = np.log1p(sum(words.values()))
+                seen = found[m]
+                seen[i] = seen.get(i, 0) + n
+        size, log = math.log1p(sum(words.values())), math.log1p
         out: list[float] = []
         for model, seen in zip(self.models, found):
-            k = len(model.vocabulary)
-            z = model.bias + model.weights[k] * size + sum(model.weights[i] * np.log1p(n) for i, n in sorted(seen.items()))
-            z += sum(model.weights[k + 1 + j] * p for j, p in enumerate(out))
-            out.append(float(1 / (1 + np.exp(-np.clip(z, -30, 30)))))
+            k, w = len(model.vocabulary), model.weights
+            z = model.bias + w[k] * size
+            for i, n in sorted(seen.items()):
+                z += w[i] * log(n)
+            for j, p in enumerate(out):
+                z += w[k + 1 + j] * p
+            out.append(1 / (1 + math.exp(-min(30.0, max(-30.0, z)))))
         return out
 
 
-class _Hits:
-    """Candidate features of all documents as flat arrays: document, feature, count.
-
-    Candidates are held by three documents or more of a category's positives, so
-    the counts that have to be kept grow with those and not with every word.
-    """
-
-    def __init__(self, texts: list[str | None], labels: list[np.ndarray]):
-        seen = [Counter() for _ in labels]
-        for i, t in enumerate(texts):
-            if any(y[i] for y in labels):
-                found = features(t).keys()
-                for y, c in zip(labels, seen):
-                    if y[i]:
-                        c.update(found)
-        self.names = sorted({f for c in seen for f, n in c.items() if n >= 3})
-        del seen
-        place = {f: k for k, f in enumerate(self.names)}
-        r, f_, n_ = array("i"), array("i"), array("i")
-        size = []
-        for i, t in enumerate(texts):
-            words = counts(t)
-            size.append(sum(words.values()))
-            mine: dict[int, int] = defaultdict(int)
-            for w, n in words.items():
-                for f in word_features(w):
-                    if (k := place.get(f)) is not None:
-                        mine[k] += n
-            r.extend([i] * len(mine))
-            f_.extend(mine.keys())
-            n_.extend(mine.values())
-        self.r, self.f, self.n = (np.array(x, np.int64) for x in (r, f_, n_))
-        self.size = np.log1p(np.array(size, float))
-
-    def choose(self, y: np.ndarray, most: int) -> np.ndarray:
-        """The features whose presence tells the classes apart best (chi squared)."""
-        k = len(self.names)
-        a = np.bincount(self.f, y[self.r], k)
-        b = np.bincount(self.f, 1 - y[self.r], k)
-        n_pos, n_neg = max(1.0, y.sum()), max(1.0, (1 - y).sum())
+class Hits:
+    """Counts of all documents of the sample as flat arrays: document, slot, count; and their numbers of words."""
+
+    def __init__(self, rows: np.ndarray, found: np.ndarray, counted: np.ndarray, words: np.ndarray):
+        self.r, self.f, self.n, self.size = rows, found, counted, np.log1p(words)
+
+    @classmethod
+    def of(cls, texts: list[str | None]) -> "Hits":
+        words = [counts(t) for t in texts]
+        each = [features(w) for w in words]
+        rows = np.repeat(np.arange(len(each)), [len(e) for e in each])
+        return cls(rows, *_flat(each), np.array([sum(w.values()) for w in words], float))
+
+    def choose(self, y: np.ndarray, use: np.ndarray, most: int) -> np.ndarray:
+        """The slots whose presence tells the classes apart best (chi squared), over the documents in ``use``."""
+        on = use[self.r]
+        f, label = self.f[on], y[self.r[on]]
+        a = np.bincount(f, label, 1 << SLOT_BITS)
+        b = np.bincount(f, 1 - label, 1 << SLOT_BITS)
+        n_pos, n_neg = max(1.0, y[use].sum()), max(1.0, (1 - y[use]).sum())
         share = (a + b) / (n_pos + n_neg)
         score = (a / n_pos - b / n_neg) ** 2 / (share * (1 - share) + 1e-3)
-        return np.argsort(-score, kind="stable")[:most]
+        best = np.argsort(-score, kind="stable")[:most]
+        return best[score[best] > 0]
+
+
+def _flat(each: list[dict[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.array([k for e in each for k in e], np.int64), np.array([n for e in each for n in e.values()], np.int64)
 
 
 class _Rows:
     """Sparse rows of chosen columns of the documents' hits, with dense columns after them."""
 
-    def __init__(self, hits: _Hits, chosen: np.ndarray, dense: np.ndarray):
-        column = np.full(len(hits.names), -1)
+    def __init__(self, hits: Hits, chosen: np.ndarray, dense: np.ndarray):
+        column = np.full(1 << SLOT_BITS, -1)
         column[chosen] = np.arange(len(chosen))
         c = column[hits.f]
         at = c >= 0
@@ -181,34 +183,59 @@ def _fit(rows: _Rows, y: np.ndarray, use: np.ndarray, steps: int = 120, ridge: f
     return w, b
 
 
-def train(texts: list[str | None], labels: dict[str, list[int]], folds: list[int], most: int = FEATURES) -> Chain:
-    """Fit the chain; ``labels`` by category in chain order, ``folds`` a fold number for each text."""
-    ys = [np.array(v, float) for v in labels.values()]
-    hits = _Hits(texts, ys)
+def train(hits: Hits, labels: dict[str, list[int]], folds: list[int], most: int = FEATURES) -> Chain:
+    """Fit the chain; ``labels`` by category in chain order, ``folds`` a fold number for each document."""
     fold = np.array(folds, np.int64)
-    dense = hits.size.reshape(len(texts), 1)
+    every = np.ones(len(fold), bool)
+    dense = hits.size.reshape(len(fold), 1)
     chain = Chain()
-    for y in ys:
-        chosen = hits.choose(y, most)
-        rows = _Rows(hits, chosen, dense)
-        chain.models.append(Linear({hits.names[f]: i for i, f in enumerate(chosen)}, *_fit(rows, y, np.ones(len(texts), bool))))
-        out_of_fold = np.zeros(len(texts))
+    for y in (np.array(v, float) for v in labels.values()):
+
+        def fitted(use: np.ndarray) -> tuple[np.ndarray, _Rows, np.ndarray, float]:
+            chosen = hits.choose(y, use, most) if use.any() else np.zeros(0, int)
+            rows = _Rows(hits, chosen, dense)
+            return chosen, rows, *_fit(rows, y, use)
+
+        chosen, _, w, b = fitted(every)
+        chain.models.append(Linear({int(s): i for i, s in enumerate(chosen)}, w.tolist(), b))
+        out_of_fold = np.zeros(len(fold))
         for k in range(FOLDS):
-            w, b = _fit(rows, y, fold != k)
-            out_of_fold[fold == k] = (1 / (1 + np.exp(-np.clip(rows.times(w) + b, -30, 30))))[fold == k]
+            if (fold == k).any():
+                _, rows, w, b = fitted(fold != k)
+                out_of_fold[fold == k] = (1 / (1 + np.exp(-np.clip(rows.times(w) + b, -30, 30))))[fold == k]
         dense = np.hstack([dense, out_of_fold[:, None]])
     return chain
 
 
+def sample_counts(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(doc_id, quality, toxic, words, slots, counts) of the labelled sample: ``sample`` rows at most."""
+    usable = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL").select("doc_id", F.col("quality").cast("long").alias("quality"), F.col("toxic").cast("long").alias("toxic"))
+    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "toxic").limit(sample)
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # the chosen labels, ``sample`` rows
+    place = [F.xxhash64("doc_id").alias("place"), F.xxhash64("text").alias("tie")]
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words = [counts(t.as_py()) for t in b.column(5)]
+            each = [features(w) for w in words]
+            more = [pa.array([sum(w.values()) for w in words], pa.int64()), *[pa.array(x, pa.list_(pa.int32())) for x in ([list(e) for e in each], [list(e.values()) for e in each])]]
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], *more], ["doc_id", "quality", "toxic", "place", "tie", "words", "slots", "counts"])
+
+    counted = found.select("doc_id", "quality", "toxic", *place, "text").mapInArrow(run, f"doc_id {kind}, quality long, toxic long, place long, tie long, words long, slots array<int>, counts array<int>")
+    return counted.orderBy("place", "doc_id", "tie", "quality", "toxic").limit(sample)
+
+
 def fit_chain(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
     """The chain fitted to the bounded labelled sample."""
-    usable = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
-    chosen = usable.select("doc_id", "quality", "toxic").orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "toxic").limit(sample)
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality", "toxic").collect()
-    found.sort(key=lambda r: (r.doc_id, r.text or "", r.quality, r.toxic))
-    poor, toxic = [int(r.quality == 0) for r in found], [int(r.toxic != 0) for r in found]
-    both = [a & b for a, b in zip(poor, toxic)]
-    return train([r.text for r in found], dict(zip(CATEGORIES, (poor, toxic, both))), [(r.doc_id * 2654435761 >> 7) % FOLDS for r in found])
+    t = sample_counts(docs, labels, sample).toArrow().combine_chunks()
+    flat = lambda name: pa.concat_arrays([c.flatten() for c in t.column(name).chunks]).to_numpy().astype(np.int64) if t.num_rows else np.zeros(0, np.int64)
+    sizes = np.array(pc.list_value_length(t.column("slots")), np.int64)
+    hits = Hits(np.repeat(np.arange(t.num_rows), sizes), flat("slots"), flat("counts"), t.column("words").to_numpy().astype(float))
+    quality, toxic = t.column("quality").to_numpy(), t.column("toxic").to_numpy()
+    poor, toxic = (quality == 0).astype(int), (toxic != 0).astype(int)
+    folds = ((t.column("place").to_numpy() & 0xFFFF) % FOLDS).tolist()
+    return train(hits, dict(zip(CATEGORIES, (poor, toxic, poor & toxic))), folds)
 
 
 def _scorer(chain: Chain):

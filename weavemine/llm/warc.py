@@ -52,6 +52,8 @@ ARC_FIELDS = {
 }
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 PAGE_ID = "X-Page-Id"
+#: Schemes of Hadoop's connectors by the name that Arrow has for the same store.
+ALIASES = {"s3a": "s3", "s3n": "s3"}
 
 
 @dataclass
@@ -175,7 +177,9 @@ def parse_warc(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def _filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    return pyarrow.fs.FileSystem.from_uri(uri)
+    """The file system of a folder as Spark names it, and the path there."""
+    scheme, mark, rest = uri.partition("://")
+    return pyarrow.fs.FileSystem.from_uri(ALIASES.get(scheme, scheme) + mark + rest)
 
 
 def open_archive(uri: str) -> BinaryIO:
@@ -296,8 +300,8 @@ def arc_to_warc(manifest: DataFrame, refers: DataFrame, folder: str) -> DataFram
         yield from _manifest(out)
 
     # one archive is one unit of work; the list of an archive is no longer than the archive
-    work = manifest.select("archive").join(refers, "archive", "left")
-    return work.select("archive", "refers").mapInArrow(run, "archive string, records long")
+    work = manifest.select("archive").join(refers, "archive", "left").select("archive", "refers")
+    return spread(work).mapInArrow(run, "archive string, records long")
 
 
 def read_warc(manifest: DataFrame) -> DataFrame:
@@ -331,11 +335,18 @@ def read_warc(manifest: DataFrame) -> DataFrame:
     return manifest.select("archive").mapInArrow(run, "record_id string, record_type string, uri string, page_id long, payload_bytes long, payload_digest string, refers_to_id string")
 
 
+def spread(manifest: DataFrame) -> DataFrame:
+    """The manifest's rows dealt out evenly, so that each core has archives of its own; adaptive execution leaves a stated number alone."""
+    spark = manifest.sparkSession
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    return manifest.repartition(max(1, min(most, manifest.count())))
+
+
 def archive_pages(pages: DataFrame, folder: str) -> DataFrame:
     """Pages to ARC to WARC below ``folder``; returns the written WARC manifest (archive, records)."""
     spark = pages.sparkSession
-    arcs = materialize(write_arc(pages, f"{folder}/arc"), "arc-manifest").repartition(F.col("archive"))
-    index = materialize(index_arc(arcs), "arc-index")
+    arcs = materialize(write_arc(pages, f"{folder}/arc"), "arc-manifest")
+    index = materialize(index_arc(spread(arcs)), "arc-index")
     warcs = materialize(arc_to_warc(arcs, materialize(revisits(index), "warc-revisits"), f"{folder}/warc"), "warc-manifest")
     drop_path(spark, f"{folder}/arc")
     return warcs
@@ -343,7 +354,7 @@ def archive_pages(pages: DataFrame, folder: str) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     warcs = archive_pages(table(spark, sf_dir, "pages"), scratch_path(spark, "archives"))
-    back = materialize(read_warc(warcs.repartition(F.col("archive"))), "warc-back")
+    back = materialize(read_warc(spread(warcs)), "warc-back")
     wanted = back.where("refers_to_id IS NOT NULL").select(F.col("refers_to_id").alias("_id")).distinct()
     named = back.select(F.col("record_id").alias("_id"), F.col("page_id").alias("refers_to")).join(wanted, "_id", "left_semi")
     named = materialize(named, "warc-named")
