@@ -10,20 +10,23 @@ sorting, over bounded pieces of text that can hold the same string:
    form a row: anchor hash, first and last start relative to the anchor, and a
    128-bit digest of the bytes they cover. There is about one row for 185 bytes.
 2. Groups. Anchors that occur once are done. Rows with equal digests repeat each
-   other over all their starts; one of each class stays in as a partner.
-3. Suffix arrays. The bytes of the remaining classes are fetched, and groups of
-   up to ``GROUP`` classes are sorted together, in batches of bounded size. Only
-   suffixes smaller than their successors are sorted directly; scanning the
-   buckets induces the others; adjacent common prefixes of SPAN bytes or more
-   are repeats.
-4. Larger groups are not capped: their ranges of starts are halved and regrouped
-   by the bytes that all starts of a half share. Equal classes settle and go at
-   each level, and a range of one start is a group of equal strings.
+   other over all their starts; one of each class stays in as a partner. The bytes
+   of the classes that share an anchor with other ones are fetched.
+3. Parts. The range of starts of each class is cut in four, and the parts are regrouped
+   by the bytes that all starts of a part share (308 or more), so classes that are
+   alike around the anchor only come apart. Equal parts settle, and one stays in.
+4. Suffix arrays. Groups of up to ``GROUP`` parts are sorted together, in batches of
+   bounded size. Only suffixes smaller than their successors are sorted directly;
+   scanning the buckets induces the others; adjacent common prefixes of SPAN bytes or
+   more are repeats.
+5. Larger groups are not capped: they are cut again until they fit, and a range
+   of one start is a group of equal strings.
 
 Spans go back to documents by a join on a key of id and text, so texts are
 shuffled twice and nothing else is as large as they are.
 
-Defined results: null text is empty; texts below SPAN bytes lose nothing;
+Defined results: null text is empty; texts below SPAN bytes lose nothing; texts of
+any length are read whole, one at a time;
 repeated rows (equal id and text) repeat each other; null ids are rows like
 others; an empty table gives no rows. Other columns are ignored.
 """
@@ -40,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weavemine.session import materialize, table
+from weavemine.session import materialize, release, table
 
 NAME = "op5_two_stage_suffixes"
 SPAN, INNER, GROUP, BATCH = 400, 32, 64, 48 << 10
@@ -89,19 +92,20 @@ def two_stage_suffix_array(t: np.ndarray, depth: int = SPAN) -> list[int]:
     return out
 
 
-def common_prefixes(data: bytes, sa: list[int], most: int = SPAN) -> np.ndarray:
+def common_prefixes(data: bytes, sa: list[int] | np.ndarray, most: int = SPAN, wanted: np.ndarray | None = None) -> np.ndarray:
     """For each place of the suffix array, the common prefix with the place before, counted up to ``most`` bytes.
 
-    All places advance together, eight bytes at a time; those that differ drop out.
+    All places advance together, eight bytes at a time; those that differ drop out. Where ``wanted`` is not set, it stays 0.
     """
     n = len(sa)
     out = np.zeros(n, np.int64)
     if n < 2:
         return out
-    padded = data + bytes(most + 8)
-    words = np.ndarray((n + most,), "<u8", padded, strides=(1,))
-    order = np.array(sa)
-    a, b, at = order[:-1], order[1:], np.arange(1, n)
+    words = _words_at(data, most)
+    order = np.asarray(sa)
+    at = np.arange(1, n) if wanted is None else np.nonzero(wanted[1:])[0] + 1
+    first = at
+    a, b = order[at - 1], order[at]
     for k in range(0, most, 8):
         x = words[a + k] ^ words[b + k]
         differ = x != 0
@@ -112,23 +116,31 @@ def common_prefixes(data: bytes, sa: list[int], most: int = SPAN) -> np.ndarray:
         if not len(at):
             break
     out[at] = most
-    room = n - np.maximum(order[:-1], order[1:])
-    out[1:] = np.minimum(out[1:], np.minimum(room, most))
+    room = n - np.maximum(order[first - 1], order[first])
+    out[first] = np.minimum(out[first], np.minimum(room, most))
     return out
 
 
+def _words_at(data: bytes, most: int) -> np.ndarray:
+    """The eight bytes from each place of ``data`` (and ``most`` places more) as a number."""
+    return np.ndarray((len(data) + most,), "<u8", data + bytes(most + 8), strides=(1,))
+
+
 def repeated_starts(pieces: list[bytes], span: int = SPAN) -> list[np.ndarray]:
     """For each piece, which starts of ``span``-byte strings have an equal one at another place of any piece."""
     # UTF-8 has no bytes above 0xF4: one more leaves 0 for the ends of pieces
     arrays = [np.concatenate([np.frombuffer(p, np.uint8) + np.uint8(1), np.zeros(1, np.uint8)]) for p in pieces]
     t = np.concatenate(arrays)
     valid = np.concatenate([np.arange(len(a)) + span < len(a) for a in arrays])
-    sa = two_stage_suffix_array(t, span)
-    lcp = common_prefixes(t.tobytes(), sa, span)
-    order = np.array(sa)
+    order, data = np.array(two_stage_suffix_array(t, span)), t.tobytes()
     ok = valid[order]
-    same = np.zeros(len(order), bool)
-    same[1:] = (lcp[1:] >= span) & ok[1:] & ok[:-1]
+    may = np.zeros(len(order), bool)  # neighbours whose first and last bytes of the span agree; the others can't have it in common
+    may[1:] = ok[1:] & ok[:-1]
+    words = _words_at(data, span)
+    for k in (0, max(0, span - 8)):
+        x = words[order + k]
+        may[1:] &= x[1:] == x[:-1]
+    same = may & (common_prefixes(data, order, span, may) >= span)
     twice = same.copy()
     twice[:-1] |= same[1:]
     mark = np.zeros(len(t), bool)
@@ -258,26 +270,27 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _batch(columns, _COVERED)
 
 
-def _halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows over half of the starts each, with the group of their shared bytes and the signature of what they cover."""
-    names = ["h", "cls", "lo", "hi", "covered", "group", "sig", "first", "last"]
+def _cut(batches: Iterator[pa.RecordBatch], pieces: int = 4) -> Iterator[pa.RecordBatch]:
+    """Rows over a part of the starts each, with the group of their shared bytes and the signature of what they cover."""
+    columns: list[list] = [[] for _ in _SPLIT]
     for b in batches:
-        out: dict[str, list] = {k: [] for k in names}
-        for r in b.to_pylist():
-            middle = (r["first"] + r["last"]) // 2
-            for a, z in ((r["first"], middle), (middle + 1, r["last"])):
-                lo, hi = max(a, r["lo"]), min(z, r["hi"])
-                if lo > hi or a > z:
+        for h, cls, lo, hi, covered, group, first, last in zip(*(b.column(k).to_pylist() for k in range(8))):
+            marks = [first + (last - first + 1) * k // pieces for k in range(pieces + 1)]
+            for a, after in zip(marks, marks[1:]):
+                begin, end = max(a, lo), min(after - 1, hi)
+                if begin > end:
                     continue
-                covered = r["covered"][lo - r["lo"] : hi - r["lo"] + SPAN]
-                group = _digest(r["group"], a.to_bytes(4, "little", signed=True), r["covered"][z - r["lo"] : a - r["lo"] + SPAN])
-                for k, x in zip(names, (r["h"], r["cls"], lo, hi, covered, group, _signature(lo, hi, covered), a, z)):
-                    out[k].append(x)
-        yield pa.RecordBatch.from_pydict(out, schema=_SPLIT)
+                shared = covered[after - 1 - lo : a - lo + SPAN]
+                row = (h, cls, begin, end, _digest(group, a.to_bytes(4, "little", signed=True), shared), _signature(begin, end, covered[begin - lo : end - lo + SPAN]), a, after - 1)
+                for c, x in zip(columns, row):
+                    c.append(x)
+        if len(columns[0]) >= FLUSH:
+            yield _batch(columns, _SPLIT)
+    yield _batch(columns, _SPLIT)
 
 
-_SPLIT = pa.schema([("h", pa.int64()), ("cls", pa.binary()), ("lo", pa.int32()), ("hi", pa.int32()), ("covered", pa.binary()), ("group", pa.binary()), ("sig", pa.binary()), ("first", pa.int32()), ("last", pa.int32())])
-_SPLIT_DDL = "h long, cls binary, lo int, hi int, covered binary, group binary, sig binary, first int, last int"
+_SPLIT = pa.schema([("h", pa.int64()), ("cls", pa.binary()), ("lo", pa.int32()), ("hi", pa.int32()), ("group", pa.binary()), ("sig", pa.binary()), ("first", pa.int32()), ("last", pa.int32())])
+_SPLIT_DDL = "h long, cls binary, lo int, hi int, group binary, sig binary, first int, last int"
 
 
 def _sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,32 +329,32 @@ def _by_suffix_arrays(groups: DataFrame) -> DataFrame:
     return rows.mapInArrow(_sort_groups, "h long, cls binary, a int, z int")
 
 
-def repeats_among(classes: DataFrame, group_most: int = GROUP) -> DataFrame:
-    """(h, cls, a, z): ranges of repeated starts among the classes (h, cls, lo, hi, covered) of each anchor hash."""
-    found = []
+def repeats_among(classes: DataFrame, group_most: int = GROUP) -> tuple[DataFrame, list[DataFrame]]:
+    """(h, cls, a, z): ranges of repeated starts among the classes (h, cls, lo, hi, covered) of each anchor hash; and the tables they are read from."""
+    found, tables = [], []
     width = SPAN - INNER
     level = classes.withColumns({"group": F.unhex(F.hex("h")), "first": F.lit(-width), "last": F.lit(0)})
-    sizes = materialize(level.groupBy("group").agg(F.count("*").alias("k")).where("k > 1"), "suffix-sizes")
-    level = materialize(level.join(sizes.hint("merge"), "group"), "suffix-level")
+    whole = classes.select("h", "cls", F.col("lo").alias("_lo"), F.col("covered").alias("_all"))
     for _ in range(width.bit_length() + 2):
-        found.append(_by_suffix_arrays(level.where(F.col("k") <= group_most)))
-        large = level.where(F.col("k") > group_most).drop("k")
-        if large.isEmpty():
-            break
-        split = materialize(large.select("h", "cls", "lo", "hi", "covered", "group", "first", "last").mapInArrow(_halve, _SPLIT_DDL), "suffix-split")
-        alike = materialize(
-            split.groupBy("group", "sig").agg(F.count("*").alias("n"), F.min(F.struct("h", "cls")).alias("rep")), "suffix-alike"
-        )
+        split = materialize(level.select("h", "cls", "lo", "hi", "covered", "group", "first", "last").mapInArrow(_cut, _SPLIT_DDL), "suffix-split")
+        facts = [F.first(c).alias(c) for c in ("lo", "hi", "first", "last")]  # equal for all rows of a signature
+        alike = materialize(split.groupBy("group", "sig").agg(F.count("*").alias("n"), F.min(F.struct("h", "cls")).alias("rep"), *facts), "suffix-alike")
         sizes = materialize(alike.groupBy("group").agg(F.count("*").alias("k")).where("k > 1"), "suffix-sizes")
-        same = split.join(alike.where("n > 1").hint("merge"), ["group", "sig"])
+        same = split.join(alike.where("n > 1").select("group", "sig").hint("merge"), ["group", "sig"])
         found.append(same.select("h", "cls", F.col("lo").alias("a"), F.col("hi").alias("z")))
-        reps = split.join(alike.select(F.col("group").alias("_g"), F.col("sig").alias("_s"), "rep").hint("merge"), (F.col("group") == F.col("_g")) & (F.col("sig") == F.col("_s")))
-        reps = reps.where("h = rep.h AND cls = rep.cls").drop("_g", "_s", "rep", "sig")
-        level = materialize(reps.join(sizes.hint("merge"), "group"), "suffix-level")
+        # of each signature one stays; only these need their bytes
+        reps = alike.select("group", "rep.h", "rep.cls", "lo", "hi", "first", "last").join(sizes.hint("merge"), "group")
+        covered = F.substring("_all", F.col("lo") - F.col("_lo") + 1, F.col("hi") - F.col("lo") + SPAN).alias("covered")
+        level = materialize(reps.join(whole.hint("merge"), ["h", "cls"]).select("h", "cls", "lo", "hi", covered, "group", "first", "last", "k"), "suffix-level")
+        found.append(_by_suffix_arrays(level.where(F.col("k") <= group_most)))
+        tables += [split, alike, sizes, level]
+        level = level.where(F.col("k") > group_most)
+        if level.isEmpty():
+            break
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
-    return out
+    return out, tables
 
 
 def repeated_spans(keyed: DataFrame) -> DataFrame:
@@ -349,20 +362,24 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
     found = materialize(keyed.select("u1", "u2", "text").mapInArrow(_find_anchors, "u1 long, u2 long, h long, at long, lo int, hi int, cls binary"), "suffix-anchors")
     often = materialize(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "suffix-often")
     rows = materialize(found.join(often.hint("merge"), "h"), "suffix-rows")
+    release(found, often)
     classes = rows.groupBy("h", "cls").agg(F.count("*").alias("n"), F.min(F.struct("u1", "u2", "at", "lo", "hi")).alias("r"))
     classes = materialize(classes.select("h", "cls", "n", "r.*"), "suffix-classes")
     mixed = materialize(classes.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"), "suffix-mixed")
     wanted = classes.join(mixed.hint("merge"), "h").groupBy("u1", "u2").agg(F.collect_list(F.struct("h", "cls", "at", "lo", "hi")).alias("wanted"))
     one_each = wanted.join(keyed.select(F.col("u1").alias("_1"), F.col("u2").alias("_2"), "text"), (F.col("u1") == F.col("_1")) & (F.col("u2") == F.col("_2")))
-    covered = one_each.select("text", "wanted").mapInArrow(_fetch, "h long, cls binary, lo int, hi int, covered binary")
-    # equal documents (same id and text) fetch a class more than once: they are one class still
-    covered = materialize(covered.dropDuplicates(["h", "cls"]), "suffix-covered")
-    ranges = materialize(repeats_among(covered).distinct(), "suffix-ranges")
-    copies = materialize(classes.where("n > 1").select("h", "cls"), "suffix-copies")
-    alone = rows.join(ranges.hint("merge"), ["h", "cls"]).select("u1", "u2", (F.col("at") + F.col("a")).alias("begin"), (F.col("at") + F.col("z") + SPAN).alias("end"))
-    whole = rows.join(copies.hint("merge"), ["h", "cls"]).select("u1", "u2", (F.col("at") + F.col("lo")).alias("begin"), (F.col("at") + F.col("hi") + SPAN).alias("end"))
-    spans = alone.unionByName(whole).groupBy("u1", "u2").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
-    return materialize(spans, "suffix-spans")
+    # equal documents (same id and text) fetch their classes more than once: these are copies already
+    covered = materialize(one_each.select("text", "wanted").mapInArrow(_fetch, "h long, cls binary, lo int, hi int, covered binary"), "suffix-covered")
+    ranges, tables = repeats_among(covered)
+    ranges = materialize(ranges, "suffix-ranges")
+    release(mixed, covered, *tables)
+    copies = classes.where("n > 1").select("h", "cls", F.col("lo").alias("a"), F.col("hi").alias("z"))
+    repeats = materialize(ranges.unionByName(copies).distinct(), "suffix-repeats")
+    spans = rows.join(repeats.hint("merge"), ["h", "cls"]).select("u1", "u2", (F.col("at") + F.col("a")).alias("begin"), (F.col("at") + F.col("z") + SPAN).alias("end"))
+    spans = spans.groupBy("u1", "u2").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+    spans = materialize(spans, "suffix-spans")
+    release(rows, classes, ranges, repeats)
+    return spans
 
 
 def with_key(docs: DataFrame) -> DataFrame:
@@ -411,7 +428,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["begin"])
-    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    counted = out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return counted.withColumn("repeats", F.col("n_removed") > 0)
 
 
 SQL = """
@@ -427,6 +445,6 @@ gaps AS (SELECT d.doc_id, coalesce(z, 0) AS a, coalesce(lead(s.a) OVER (PARTITIO
 kept AS (SELECT doc_id, string_agg(substring(x, 2 * a + 1, 2 * (z - a)), '' ORDER BY a) AS h FROM gaps GROUP BY doc_id),
 m AS (SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
-  sha256(unhex(h)) AS kept_sha256
+  sha256(unhex(h)) AS kept_sha256, coalesce(n_removed, 0) > 0 AS repeats
 FROM d LEFT JOIN m USING (doc_id) JOIN kept USING (doc_id)
 """
