@@ -8,12 +8,14 @@ executor), so a lost executor only costs the tasks that were running on it.
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _OWN_DIR: list[str] = []
 _WRITTEN: list[str] = []
 
@@ -38,10 +40,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where that is unset (tests, one machine)."""
+    """The cluster's ``spark.checkpoint.dir``. Only where that is unset and the session is one machine's, as in tests, a temporary folder."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[[^-\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _OWN_DIR:
         _OWN_DIR.append(tempfile.mkdtemp(prefix="weavemine-"))
         atexit.register(shutil.rmtree, _OWN_DIR[0], True)
@@ -55,10 +59,18 @@ def scratch_path(spark: SparkSession, name: str = "t") -> str:
 
 
 def materialize(df: DataFrame, name: str = "t") -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage, survives executor loss."""
+    """Write to the shared folder and read back: cuts lineage, survives executor loss.
+
+    Once the table is written nothing needs the shuffle files it was made of; Spark is asked to delete them then.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    was = spark.conf.get(_TIDY, None)
+    spark.conf.set(_TIDY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_TIDY) if was is None else spark.conf.set(_TIDY, was)
     out = spark.read.schema(df.schema).parquet(path)
     out._weavemine_path = path
     return out
