@@ -1,23 +1,29 @@
-"""Operator 10: SimHash near-duplicates over a byte-position inverted index.
+"""Operator 10: SimHash near-duplicates over a byte-position inverted index with count filtering.
 
 Fingerprints (64 bits, 8 bytes) at most 2 bits apart differ in at most 2 byte
-positions, so they share at least 6 of the 8 positional bytes. The index posts
-each distinct fingerprint under every choice of two of four byte-pair blocks
-(six postings of four positional bytes); any pair that reaches the guaranteed
-minimum has a posting in common. For a pair found in a posting the shared
-positional bytes are tallied over all 8 positions, pairs with fewer than 6 go,
-and the rest are verified by counting differing bits.
-
-A posting with more than ``POSTING`` different fingerprints is not paired up:
-its members are linked through the points one bit around them (two
-fingerprints are within 2 bits exactly if their one-bit neighbourhoods meet),
-65 rows a fingerprint, so no posting is dropped or capped and work stays in
-proportion to the number of fingerprints.
+positions, so they share at least 6 of the 8 positional bytes. Posting single
+positional bytes would put a 256th of all fingerprints into every posting, so
+the index posts fours of positional bytes: the 14 fours of positions whose
+numbers cancel out (exclusive or), a design in which two fingerprints that share
+6, 7 or 8 positions have 3, 7 or 14 fours in common, and any that share fewer at
+most one. The postings a pair has in common are tallied, pairs that reach the
+guaranteed minimum of ``MINIMUM`` are retained, and those are verified by counting
+differing bits. The tally alone tells 6 shared bytes from 5: no fingerprint is
+looked into before that.
+
+A hot posting, of more than ``POSTING`` different fingerprints, is split instead
+of paired up: its members go to the points one bit around them (two
+fingerprints are within 2 bits exactly if their one-bit neighbourhoods meet)
+and are linked to the least member at each point, 65 rows a fingerprint. That
+finds every link of a pair that shares a hot posting, so no posting is dropped or
+capped and work stays in proportion to the number of fingerprints.
 
 Defined results: null or wordless text has the zero fingerprint and links like
-any other; fewer words than a shingle: the whole sequence is the one shingle;
+any other; fewer words than a shingle: the whole sequence is the one shingle; a
+bit set in exactly half of the shingles is 0;
 repeated rows and null ids: each row is returned, null ids never name a
-component that has another id; an empty table gives no rows. Columns other than
+component that has another id; an empty table gives no rows; texts of any length are
+hashed in blocks of shingles. Columns other than
 the id and the text are neither read nor named.
 """
 
@@ -38,8 +44,9 @@ from weavemine.session import materialize, table
 NAME = "op10_simhash_components"
 SHINGLE, SEED, BITS, POSTING = 3, 42, 2, 64
 BLOCK = 1 << 16
-BLOCKS = ((0, 1), (2, 3), (4, 5), (6, 7))
-MINIMUM = 8 - BITS
+#: Fours of byte positions: 6 shared positions hold 3 of them, 5 hold one at most.
+FOURS = [f for f in combinations(range(8), 4) if f[0] ^ f[1] ^ f[2] ^ f[3] == 0]
+MINIMUM = 3
 
 
 def simhash(text: str | None, shingle: int = SHINGLE) -> int:
@@ -57,9 +64,18 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
     digest = xxhash.xxh64_intdigest
     for k in range(0, n, BLOCK):
         h = np.array([digest(joined[a:b], SEED) for a, b in zip(starts[k : k + BLOCK], stops[k : k + BLOCK])], np.uint64)
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(ones * 2 > n, bitorder="little")
-    return int(bits.view(np.int64)[0])
+        ones += set_bits(h)
+    return over_half(ones, n)
+
+
+def set_bits(h: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit set."""
+    return np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def over_half(ones: np.ndarray, n: int) -> int:
+    """The signed fingerprint whose bits are set in over half of n hashes."""
+    return int(np.packbits(ones * 2 > n, bitorder="little").view(np.int64)[0])
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -74,25 +90,16 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return docs.select(docs[key].alias("k"), docs[text].alias("t")).mapInArrow(run, f"k {kind}, fp long").withColumnRenamed("k", key)
 
 
-def _byte(c: Column, k: int) -> Column:
-    return F.shiftrightunsigned(c, 8 * k).bitwiseAND(0xFF)
-
-
 def _postings(fp: Column) -> Column:
-    """One key for each choice of two blocks: which blocks, and their four bytes at their positions."""
+    """One key for each four of positions: which, and the four bytes in their places."""
     keys = []
-    for n, (a, b) in enumerate(combinations(range(4), 2)):
-        mask = sum(0xFF << (8 * p) for p in (*BLOCKS[a], *BLOCKS[b]))
+    for n, four in enumerate(FOURS):
+        mask = sum(0xFF << (8 * p) for p in four)
         mask -= (mask >> 63) << 64
-        keys.append(F.struct(F.lit(n).alias("which"), fp.bitwiseAND(F.lit(mask)).alias("bytes")))
+        keys.append(F.struct(F.lit(n).cast("byte").alias("which"), fp.bitwiseAND(F.lit(mask)).alias("bytes")))
     return F.explode(F.array(*keys))
 
 
-def shared_bytes(a: Column, b: Column) -> Column:
-    """How many of the 8 byte positions agree."""
-    return sum((F.when(_byte(a.bitwiseXOR(b), k) == 0, 1).otherwise(0) for k in range(8)), F.lit(0))
-
-
 def links(distinct_fps: DataFrame, bits: int = BITS, posting: int = POSTING) -> DataFrame:
     """(src, dst) whose components are those of "at most 2 bits apart" among the distinct ``fp``."""
     if bits != 2:
@@ -100,10 +107,9 @@ def links(distinct_fps: DataFrame, bits: int = BITS, posting: int = POSTING) ->
     posted = distinct_fps.select("fp", _postings(F.col("fp")).alias("p")).select("fp", "p.which", "p.bytes")
     sizes = posted.groupBy("which", "bytes").agg(F.count("*").alias("n")).where("n > 1")
     shared = materialize(posted.join(sizes, ["which", "bytes"]), "postings")
-    small = shared.where(F.col("n") <= posting).select("which", "bytes", "fp")
-    other = small.withColumnRenamed("fp", "gp")
-    pairs = small.join(other, ["which", "bytes"]).where("fp < gp")
-    tallied = pairs.withColumn("matches", shared_bytes(F.col("fp"), F.col("gp"))).where(F.col("matches") >= MINIMUM)
+    cold = shared.where(F.col("n") <= posting).select("which", "bytes", "fp")
+    pairs = cold.join(cold.withColumnRenamed("fp", "gp"), ["which", "bytes"]).where("fp < gp")
+    tallied = pairs.groupBy("fp", "gp").agg(F.count("*").alias("hits")).where(F.col("hits") >= MINIMUM)
     near = tallied.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("gp"))) <= bits).select(F.col("fp").alias("src"), F.col("gp").alias("dst"))
     flips = F.array(F.lit(0).cast("long"), *[F.lit((1 << k) - ((1 << 64) if k == 63 else 0)).cast("long") for k in range(64)])
     around = (
