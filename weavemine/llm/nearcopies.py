@@ -1,18 +1,30 @@
-"""Near copies for the pipeline: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
-
-The search is exact. Shingles are put in one order for all texts (rarer buckets
-of a count over the corpus first, then the digest); two sets that similar share
-a shingle among the first ``n - ceil(0.8 n) + 1`` of each, so only those are
-posted. Each posting's members are verified against its least member first;
-pairs of a posting that this leaves in different components are then verified
-one by one. Before two sets are brought together, their sizes and parity maps
-(a set's digests counted modulo 2 in ``PARITY`` cells) bound the similarity:
-maps differ in at most as many cells as the sets in members. So a posting of many near copies costs a row a member, nothing is
-capped, and every pair that reaches the similarity is linked.
+"""Operator 10 for whole texts: near copies by five-word shingles with a Jaccard similarity of 0.8 or more.
+
+A 64-bit SimHash of the shingles finds the closest copies, by the byte-position
+index of ``simhash``; every pair it finds is verified by the Jaccard similarity
+of the two sets. Texts that are 0.8 alike differ in up to some 16 of the 64 bits,
+though, which no index of fingerprints guarantees to find. So the search is
+completed exactly, by an index of shingles:
+
+1. Shingles are put in one order for all texts: those that are frequent in some
+   part of the corpus last, by count, all others before them, by hash. Two sets
+   that similar share one of the first ``n - ceil(0.8 n) + 1`` of each, so only
+   these are posted, with their places. Places and sizes bound what two sets
+   can share; postings of sets that cannot reach 0.8 with any other are dropped.
+2. In each posting the members of about equal size are verified against the one
+   whose place is first, the likeliest centre of a group.
+3. Members of a posting that are in different components then are verified
+   pair by pair, where places, sizes and parity maps (a set's shingles counted
+   modulo 2 in ``CELLS`` cells; maps differ in no more cells than the sets do in
+   members) leave it possible. Nothing is capped, and every pair that reaches
+   the similarity is linked, so a group of near copies costs a few rows a member.
 
 Words are split as in operator 10 (A-Z lowered, ASCII white space). Fewer words
 than a shingle: the whole sequence is the one shingle; null and wordless texts
-are copies of each other; sets are of 64-bit digests.
+are copies of each other; equal sets are copies; shingles are 64-bit hashes.
+Rows with equal ids stand in the order of a hash of their text, null ids after all
+others; an empty table gives no rows; other columns are carried along unread,
+whatever their names; a text of any length is read whole.
 """
 
 from __future__ import annotations
@@ -22,31 +34,54 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weavemine.llm import simhash
 from weavemine.operators.components import connected_components
 from weavemine.session import materialize, release
 
 SHINGLE, SEED = 5, 42
 #: The least similarity, as a fraction.
 PART, WHOLE = 4, 5
-BUCKET_BITS = 16
-PARITY = 1024
+CELLS = 256
+#: Frequent shingles known to every task, at most; those a task reports, at most and at least so often.
+LISTED, REPORTED, OFTEN = 1 << 16, 1 << 11, 8
+_STEP = 0x9E3779B97F4A7C15
+
+
+class _Words(dict):
+    """Hashes of words; emptied when it has grown to its bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 1 << 18:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word, SEED)
+        return h
+
+
+_HASH = _Words().__getitem__
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
 
 
 def shingle_set(text: str | None) -> np.ndarray:
-    """The different shingles' digests (uint64), sorted."""
+    """The different shingles' hashes (uint64), sorted."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    joined = b" ".join(words)
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    ends = np.cumsum(lengths + 1) - 1
-    n = max(1, len(words) - SHINGLE + 1)
-    starts, stops = (ends - lengths)[:n].tolist(), ends[min(SHINGLE, len(words)) - 1 :].tolist()
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops)), np.uint64, n))
+    w = np.fromiter(map(_HASH, words), np.uint64, len(words))
+    size = min(SHINGLE, len(w))
+    with np.errstate(over="ignore"):
+        h = np.full(len(w) - size + 1, size, np.uint64)
+        for k in range(size):
+            h = h * np.uint64(_STEP) + w[k : len(w) - size + 1 + k]
+    return np.unique(_mixed(h))
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -54,119 +89,201 @@ def node_of(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes(), SEED)).view(np.int64))
 
 
-def _buckets(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+def fingerprint(shingles: np.ndarray) -> int:
+    return simhash.over_half(simhash.set_bits(shingles), len(shingles)) if len(shingles) else 0
+
+
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """CELLS bits as longs: which cells an odd number of the hashes fall into."""
+    odd = np.bincount((shingles & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+class _Frequent:
+    """Shingles that many sets of a task hold, with their counts; memory is bounded, rare ones are let go."""
+
+    def __init__(self):
+        self.waiting, self.size = [], 0
+        self.found: dict[int, int] = {}
+
+    def add(self, shingles: np.ndarray) -> None:
+        self.waiting.append(shingles)
+        self.size += len(shingles)
+        if self.size >= 1 << 20:
+            self.settle()
 
+    def settle(self) -> None:
+        if self.waiting:
+            s, n = np.unique(np.concatenate(self.waiting), return_counts=True)
+            for x, k in zip(s[n > 1].tolist(), n[n > 1].tolist()):
+                self.found[x] = self.found.get(x, 0) + k
+            self.waiting, self.size = [], 0
+        if len(self.found) > 1 << 16:
+            self.found = dict(self.most(1 << 15))
 
-def prefix(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The shingles to post: any set similar enough shares one of them, and posts it too."""
+    def most(self, k: int) -> list[tuple[int, int]]:
+        return sorted(self.found.items(), key=lambda x: (-x[1], x[0]))[:k]
+
+
+def prefix(shingles: np.ndarray, listed: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The shingles to post, in order: any set similar enough shares one of them, and posts it too."""
     n = len(shingles)
     if not n:
         return shingles
-    first = n - -(-PART * n // WHOLE) + 1
-    return shingles[np.lexsort((shingles, counts[_buckets(shingles)]))[:first]]
+    most = n - -(-PART * n // WHOLE) + 1
+    often = np.zeros(n, np.int64)
+    if len(listed):
+        at = np.minimum(np.searchsorted(listed, shingles), len(listed) - 1)
+        often = np.where(listed[at] == shingles, counts[at], 0)
+    rare = shingles[often == 0]
+    if len(rare) >= most:
+        return rare[:most]
+    return shingles[np.argsort(often, kind="stable")[:most]]
 
 
-def parity(shingles: np.ndarray) -> np.ndarray:
-    """PARITY bits as longs: which cells an odd number of the digests fall into."""
-    odd = np.bincount((shingles & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+_PARITY = [f"p{k}" for k in range(CELLS // 64)]
 
 
-def _read(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(key, node) of every row, and the number of shingles in each bucket."""
+def _read(docs: DataFrame) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]]:
+    """(key, node, size, fp, parity) of every row, and the corpus's frequent shingles with their counts."""
     kind = docs.schema["key"].dataType.simpleString()
+    longs = ["node", "size", "fp", *_PARITY, "s", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << BUCKET_BITS, np.int64)
-        key = None
+        frequent, key = _Frequent(), None
         for b in batches:
-            nodes = []
+            rows = []
             for t in b.column(1):
                 s = shingle_set(t.as_py())
-                counts += np.bincount(_buckets(s), minlength=len(counts))
-                nodes.append(node_of(s))
+                frequent.add(s)
+                rows.append((node_of(s), len(s), fingerprint(s), *parity(s).tolist()))
             key = b.column(0).type
-            none = pa.nulls(len(nodes), pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(nodes, pa.int64()), none, none], ["key", "node", "bucket", "n"])
-        if key is not None:
-            at = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(at), key), pa.nulls(len(at), pa.int64()), pa.array(at), pa.array(counts[at])], ["key", "node", "bucket", "n"])
+            found = [pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * (3 + len(_PARITY))
+            yield pa.RecordBatch.from_arrays([b.column(0), *found, *[pa.nulls(len(rows), pa.int64())] * 2], ["key", *longs])
+        frequent.settle()
+        if key is not None and (most := [x for x in frequent.most(REPORTED) if x[1] >= OFTEN]):
+            s, n = np.array([x[0] for x in most], np.uint64).view(np.int64), [x[1] for x in most]
+            none = [pa.nulls(len(n), pa.int64())] * (3 + len(_PARITY))
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(n), key), *none, pa.array(s), pa.array(n, pa.int64())], ["key", *longs])
+
+    read = materialize(docs.select("key", "text").mapInArrow(run, f"key {kind}, " + ", ".join(f"{c} long" for c in longs)), "near-read")
+    # at most LISTED rows, however large the corpus: only the order of shingles depends on them
+    most = read.where("s IS NOT NULL").groupBy("s").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "s").limit(LISTED).collect()
+    s = np.array([r.s for r in most], np.int64).view(np.uint64)
+    order = np.argsort(s)
+    return read.where("s IS NULL").drop("s", "n"), (s[order], np.array([r.n for r in most], np.int64)[order])
+
+
+def _least(m: Column, n: Column) -> Column:
+    """The least number of shared members that makes sets of m and n members similar."""
+    return F.ceil(PART * (m + n) / F.lit(float(PART + WHOLE)) - 1e-6)
+
 
-    read = materialize(docs.select("key", "text").mapInArrow(run, f"key {kind}, node long, bucket long, n long"), "near-read")
-    counts = np.zeros(1 << BUCKET_BITS, np.int64)
-    for r in read.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("n").alias("n")).toLocalIterator():  # at most 65,536 rows
-        counts[r.bucket] = r.n
-    return read.where("bucket IS NULL").select("key", "node"), counts
+def _may(a: str, b: str) -> Column:
+    """Whether the sizes and the places of one shingle leave two sets similar; columns pos and size with these suffixes."""
+    m, n = F.col(f"size{a}"), F.col(f"size{b}")
+    room = F.least(m - F.col(f"pos{a}"), n - F.col(f"pos{b}"))
+    return (WHOLE * F.least(m, n) >= PART * F.greatest(m, n)) & (room >= _least(m, n))
 
 
-def _postings(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(s, node, hub): the posted shingles that more than one node has; hub is the least of these nodes."""
+def _postings(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(s, node, pos, size): posted shingles that may be the first in common of two similar sets."""
+    listed, counts = frequent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            columns: list[list[np.ndarray]] = [[], [], [], []]
             for t in b.column(0):
                 s = shingle_set(t.as_py())
-                p = prefix(s, counts)
-                yield pa.RecordBatch.from_arrays([pa.array(p.view(np.int64)), pa.array(np.full(len(p), node_of(s)))], ["s", "node"])
-
-    posted = materialize(docs.select("text").mapInArrow(run, "s long, node long"), "near-posted")
-    hubs = posted.groupBy("s").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top").drop("top")
-    shared = materialize(posted.join(hubs, "s"), "near-postings")
+                p = prefix(s, listed, counts)
+                for c, x in zip(columns, (p.view(np.int64), np.full(len(p), node_of(s)), np.arange(len(p), dtype=np.int32), np.full(len(p), len(s), np.int32))):
+                    c.append(x)
+            if columns[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["s", "node", "pos", "size"])
+
+    posted = materialize(docs.select("text").mapInArrow(run, "s long, node long, pos int, size int"), "near-posted")
+    sizes = posted.groupBy("s").agg(F.count("*").alias("k"), F.min("size").alias("least")).where("k > 1").drop("k")
+    partner = F.greatest("least", F.ceil(F.col("size") * PART / F.lit(float(WHOLE)) - 1e-6))
+    shared = posted.join(sizes, "s").where(F.col("size") - F.col("pos") >= _least(F.col("size"), partner))
+    shared = materialize(shared.select("s", "node", "pos", "size").distinct(), "near-shared")
     release(posted)
     return shared
 
 
 def _sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """(node, size, parity, shingles) of the rows with the given keys, one a node."""
+    """(node, shingles) of the rows with the given keys; equal rows give a node more than once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for t in b.column(0):
-                s = shingle_set(t.as_py())
-                lists = [pa.array([x], pa.list_(pa.int64())) for x in (parity(s), s.view(np.int64))]
-                yield pa.RecordBatch.from_arrays([pa.array([node_of(s)], pa.int64()), pa.array([len(s)], pa.int32()), *lists], ["node", "size", "parity", "shingles"])
+            for k in range(0, b.num_rows, 64):
+                sets = [shingle_set(t.as_py()) for t in b.column(0).slice(k, 64)]
+                ends = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), lists], ["node", "shingles"])
 
     flat = docs.select("key.*", "text").toDF("none", "id", "h", "text")
     wanted = keys.select("key.*").toDF("none", "id", "h")
-    out = flat.join(wanted, ["none", "id", "h"], "left_semi").select("text").mapInArrow(run, "node long, size int, parity array<long>, shingles array<long>")
-    return materialize(out.dropDuplicates(["node"]), "near-sets")
+    out = flat.join(wanted, ["none", "id", "h"], "left_semi").select("text").mapInArrow(run, "node long, shingles array<long>")
+    return materialize(out, "near-sets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """(src, dst): the pairs (a, b) whose similarity is at least PART / WHOLE."""
-    x, y = (sets.select(F.col("node").alias(k), F.col("size").alias(f"n{k}"), F.col("parity").alias(f"p{k}")) for k in "ab")
-    total = F.col("na") + F.col("nb")
-    apart = F.aggregate(F.zip_with("pa", "pb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, n: s + n)
-    may = (WHOLE * F.least("na", "nb") >= PART * F.greatest("na", "nb")) & ((PART + WHOLE) * apart <= (WHOLE - PART) * total)
-    left = materialize(pairs.join(x, "a").join(y, "b").where(may).select("a", "b"), "near-pairs")
+    x, y = (nodes.select(F.col("node").alias(k), F.col("size").alias(f"size{k}"), *[F.col(p).alias(f"{p}{k}") for p in _PARITY]) for k in "ab")
+    sized = F.lit(WHOLE) * F.least("sizea", "sizeb") >= F.lit(PART) * F.greatest("sizea", "sizeb")
+    left = materialize(pairs.join(x, "a").join(y, "b").where(sized & _few_odd("a", "b")).select("a", "b"), "near-pairs")
     x, y = (sets.select(F.col("node").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
     both = F.size(F.array_intersect("sa", "sb"))
     alike = (PART + WHOLE) * both >= PART * (F.size("sa") + F.size("sb"))
-    return left.join(x, "a").join(y, "b").where(alike).select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    return left.join(x, "a").join(y, "b").where(alike).select(F.col("a").alias("src"), F.col("b").alias("dst")).distinct()
+
+
+def _few_odd(a: str, b: str) -> Column:
+    """Whether the parity maps leave two sets similar."""
+    apart = sum((F.bit_count(F.col(f"{p}{a}").bitwiseXOR(F.col(f"{p}{b}"))) for p in _PARITY), F.lit(0))
+    return (PART + WHOLE) * apart <= (WHOLE - PART) * (F.col(f"size{a}") + F.col(f"size{b}"))
+
+
+def _by_fingerprint(nodes: DataFrame) -> DataFrame:
+    """(a, b): nodes of one fingerprint, and of fingerprints that the byte-position index links."""
+    fps = materialize(nodes.groupBy("fp").agg(F.min("node").alias("first")), "near-fingerprints")
+    same = nodes.join(fps, "fp").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    x, y = fps.toDF("src", "a"), fps.toDF("dst", "b")
+    return same.unionByName(simhash.links(fps.select("fp")).join(x, "src").join(y, "dst").select("a", "b"))
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
     """(none, id, h, n) of the least key of each component of near copies, from (key, text); n counts the rows with that key."""
-    keyed, counts = _read(docs)
-    nodes = keyed.groupBy("key", "node").agg(F.count("*").alias("n")).groupBy("node").agg(F.min(F.struct("key", "n")).alias("least"))
+    keyed, frequent = _read(docs)
+    facts = [F.first(c).alias(c) for c in ("size", "fp", *_PARITY)]
+    nodes = keyed.groupBy("key", "node").agg(F.count("*").alias("n"), *facts).groupBy("node").agg(F.min(F.struct("key", "n")).alias("least"), *facts)
     nodes = materialize(nodes, "near-nodes")
-    shared = _postings(docs, counts)
-    posted = shared.select("node").distinct()
-    sets = _sets(docs, nodes.join(posted, "node", "left_semi").select("least.key"))
-    near = materialize(_verified(shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), sets), "near-links")
-    found = connected_components(near)
-    named = shared.select("s", "node").distinct().join(found, "node", "left").select("s", "node", F.coalesce("component", "node").alias("c"))
-    named = materialize(named, "near-named")
+    shared = _postings(docs, frequent)
+    group = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(WHOLE / PART)))
+    centres = shared.groupBy("s", group.alias("g")).agg(F.min(F.struct("pos", "node", "size")).alias("c"))
+    centres = centres.select("s", "g", F.col("c.pos").alias("posa"), F.col("c.node").alias("a"), F.col("c.size").alias("sizea"))
+    members = shared.select("s", group.alias("g"), F.col("node").alias("b"), F.col("pos").alias("posb"), F.col("size").alias("sizeb"))
+    star = members.join(centres, ["s", "g"]).where((F.col("a") != F.col("b")) & _may("a", "b")).select("a", "b").distinct()
+    pairs = materialize(star.unionByName(_by_fingerprint(nodes)).distinct(), "near-candidates")
+    held = shared.select("node").union(pairs.select("a")).union(pairs.select("b")).distinct()
+    sets = _sets(docs, nodes.join(held, "node", "left_semi").select("least.key"))
+    near = materialize(_verified(pairs, nodes, sets), "near-links")
+    found = materialize(connected_components(near), "near-found")
+    named = materialize(shared.join(found, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component"), "near-named")
     split = named.groupBy("s").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("s")
-    open_ = materialize(named.join(split, "s", "left_semi"), "near-open")
-    left, right = open_.toDF("s", "a", "ca"), open_.toDF("s", "b", "cb")
-    rest = left.join(right, "s").where("a < b AND ca <> cb").select("a", "b").distinct()
-    links = near.unionByName(_verified(rest, sets))
-    roots = materialize(connected_components(links), "near-components")
+    open_ = named.join(split, "s", "left_semi").join(nodes.select("node", *_PARITY), "node")
+    open_ = materialize(open_, "near-open")
+    names = ["node", "s", "pos", "size", "c", *_PARITY]
+    left = open_.select("s", *[F.col(c).alias(f"{c}a") for c in names if c != "s"])
+    right = open_.select("s", *[F.col(c).alias(f"{c}b") for c in names if c != "s"])
+    rest = left.join(right, "s").where((F.col("nodea") < F.col("nodeb")) & (F.col("ca") != F.col("cb")) & _may("a", "b") & _few_odd("a", "b"))
+    more = materialize(_verified(rest.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct(), nodes, sets), "near-more")
+    roots = materialize(connected_components(near.unionByName(more)), "near-components")
     rooted = nodes.join(roots, "node", "left").select(F.coalesce("component", "node").alias("root"), "least")
     stay = rooted.groupBy("root").agg(F.min("least").alias("x")).select("x.key.none", "x.key.id", "x.key.h", "x.n")
-    return materialize(stay, "near-stay")
+    stay = materialize(stay, "near-stay")
+    release(nodes, shared, pairs, sets, near, found, named, open_, more, roots)
+    return stay
 
 
 def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
