@@ -55,6 +55,7 @@ def test_features_are_chosen_inside_folds_and_from_both_classes():
     chosen = set(hits.choose(y, use, 1500).tolist())
     assert set(T.slots("vile")) <= chosen and set(T.slots("kind")) <= chosen
     assert not chosen & set(T.slots("secret")) and not chosen & set(T.slots("a"))
+    assert len(T.Hits.of(["once", "twice twice", "twice"]).f) == 0
 
 
 def test_sample_is_bounded_where_ids_repeat(spark):

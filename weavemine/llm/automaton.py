@@ -11,12 +11,12 @@ stood at both edges while the rules ran (the edge chains kept by the gadgets),
 so a transition is worked out the first time it is wanted and looked up in the
 table afterwards: the full table over all pairs of tokens would be 2.4e9 cells.
 
-A word is read once, from left to right. What is read of it after each symbol
-has an encoding of its own, so exactly one of the labels that end there leaves
-an earlier state by an open arc; that arc's state is entered in the row of
-states, and nothing is taken back. The arcs from the last state back to the
-start are the encoding. What an unspaced run of text encodes to is kept in a
-bounded memo of two generations. Decoding emits the arc labels.
+Whatever is read of a word has an encoding of its own, so each place in it has
+one state: exactly one of the labels that end there leaves the state of an
+earlier place by an open arc. The states that the end of the word rests on are
+looked up, each once, and none is ever changed; the arcs between them are the
+encoding. What an unspaced run of text encodes to is kept in a bounded
+memo of two generations. Decoding emits the arc labels.
 
 Defined results: null is read as the empty text; an empty text has no tokens;
 texts of any length are read in pieces cut at white space, where no token ends
@@ -45,7 +45,7 @@ from weavemine.session import table
 NAME = "op8_bpe_automaton"
 START = -1
 PIECE = 1 << 20
-MEMO, ARCS = 150_000, 400_000
+MEMO, ARCS = 200_000, 500_000
 CONTROLS = re.compile("[\x1c-\x1f]")
 #: Code points, first and last, that the regex module's Unicode tables have as letters or numbers and the
 #: tokenizers library's, which are those of Unicode 16, do not.
@@ -101,10 +101,12 @@ class MergeAutomaton:
         self.table: dict[int, bool] = {}
         for k, (u, v, w) in enumerate(pairs):
             self._gadget(k, u, v, w, never)
+        #: Labels that can stand inside a word, and at its end.
+        self.inner = {s: t for s, t in self.open.items() if not suffix or not s.endswith(suffix)}
+        self.final = {s.removesuffix(suffix): t for s, t in self.open.items() if s.endswith(suffix)} if suffix else self.inner
         #: By its last four symbols, the longest label that ends so; labels of up to three symbols need no entry.
         self.far: dict[str, int] = {}
-        for label in self.open:
-            label = label.removesuffix(suffix) if suffix else label
+        for label in (*self.inner, *self.final):
             self.far[label[-4:]] = max(self.far.get(label[-4:], 3), len(label))
 
     def _gadget(self, k: int, u: int, v: int, w: int, never: int) -> None:
@@ -143,18 +145,33 @@ class MergeAutomaton:
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of one pre-split word, already in byte symbols."""
-        n, open_, step, far = len(word), self.open, self.step, self.far.get
-        states, came = [START], [0]  # after each symbol: the token whose arc ends there, and the place where it begins
-        for j in range(1, n + 1):
-            tail = self.suffix if j == n else ""
-            for i in range(j - min(j, far(word[max(0, j - 4) : j], 3)), j):
-                t = open_.get(word[i:j] + tail)
-                if t is not None and (i == 0 or step(states[i], t)):
-                    break
+        n, far, table, step = len(word), self.far.get, self.table.get, self.step
+        states: list[int | None] = [START] + [None] * n  # by place: the token whose arc ends there
+        came = [-1] * (n + 1)  # the place where that arc begins, or the one that is being looked at
+        asked, label = [n], self.final.get
+        while asked:
+            j = asked[-1]
+            i = came[j] if came[j] >= 0 else j - min(j, far(word[max(0, j - 4) : j], 3))
+            while i < j:
+                t = label(word[i:j])
+                if t is not None:
+                    if i == 0:
+                        break
+                    s = states[i]
+                    if s is None:
+                        asked.append(i)
+                        break
+                    open_ = table((s << 32) | t)
+                    if step(s, t) if open_ is None else open_:
+                        break
+                i += 1
             else:
                 raise ValueError(f"no path spells {word!r}")
-            states.append(t)
-            came.append(i)
+            came[j] = i
+            if asked[-1] == j:
+                states[j] = t
+                asked.pop()
+            label = self.final.get if asked and asked[-1] == n else self.inner.get
         path, j = [], n
         while j:
             path.append(states[j])

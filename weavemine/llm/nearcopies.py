@@ -227,15 +227,20 @@ def _sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return materialize(out, "near-sets")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(src, dst): the pairs (a, b) whose similarity is at least PART / WHOLE."""
+def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(src, dst): the pairs (a, b) whose similarity is at least PART / WHOLE. Only sets of pairs that sizes and parity maps leave open are fetched."""
     x, y = (nodes.select(F.col("node").alias(k), F.col("size").alias(f"size{k}"), *[F.col(p).alias(f"{p}{k}") for p in _PARITY]) for k in "ab")
     sized = F.lit(WHOLE) * F.least("sizea", "sizeb") >= F.lit(PART) * F.greatest("sizea", "sizeb")
-    left = materialize(pairs.join(x, "a").join(y, "b").where(sized & _few_odd("a", "b")).select("a", "b"), "near-pairs")
+    left = materialize(pairs.join(x, "a").join(y, "b").where(sized & _few_odd("a", "b")).select("a", "b").distinct(), "near-pairs")
+    wanted = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
+    sets = _sets(docs, nodes.join(wanted, "node", "left_semi").select("least.key"))
     x, y = (sets.select(F.col("node").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
     both = F.size(F.array_intersect("sa", "sb"))
     alike = (PART + WHOLE) * both >= PART * (F.size("sa") + F.size("sb"))
-    return left.join(x, "a").join(y, "b").where(alike).select(F.col("a").alias("src"), F.col("b").alias("dst")).distinct()
+    out = left.join(x, "a").join(y, "b").where(alike).select(F.col("a").alias("src"), F.col("b").alias("dst")).distinct()
+    out = materialize(out, "near-links")
+    release(left, sets)
+    return out
 
 
 def _few_odd(a: str, b: str) -> Column:
@@ -264,10 +269,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     centres = centres.select("s", "g", F.col("c.pos").alias("posa"), F.col("c.node").alias("a"), F.col("c.size").alias("sizea"))
     members = shared.select("s", group.alias("g"), F.col("node").alias("b"), F.col("pos").alias("posb"), F.col("size").alias("sizeb"))
     star = members.join(centres, ["s", "g"]).where((F.col("a") != F.col("b")) & _may("a", "b")).select("a", "b").distinct()
-    pairs = materialize(star.unionByName(_by_fingerprint(nodes)).distinct(), "near-candidates")
-    held = shared.select("node").union(pairs.select("a")).union(pairs.select("b")).distinct()
-    sets = _sets(docs, nodes.join(held, "node", "left_semi").select("least.key"))
-    near = materialize(_verified(pairs, nodes, sets), "near-links")
+    near = _verified(docs, star.unionByName(_by_fingerprint(nodes)), nodes)
     found = materialize(connected_components(near), "near-found")
     named = materialize(shared.join(found, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component"), "near-named")
     split = named.groupBy("s").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("s")
@@ -277,12 +279,12 @@ def near_copies(docs: DataFrame) -> DataFrame:
     left = open_.select("s", *[F.col(c).alias(f"{c}a") for c in names if c != "s"])
     right = open_.select("s", *[F.col(c).alias(f"{c}b") for c in names if c != "s"])
     rest = left.join(right, "s").where((F.col("nodea") < F.col("nodeb")) & (F.col("ca") != F.col("cb")) & _may("a", "b") & _few_odd("a", "b"))
-    more = materialize(_verified(rest.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct(), nodes, sets), "near-more")
+    more = _verified(docs, rest.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")), nodes)
     roots = materialize(connected_components(near.unionByName(more)), "near-components")
     rooted = nodes.join(roots, "node", "left").select(F.coalesce("component", "node").alias("root"), "least")
     stay = rooted.groupBy("root").agg(F.min("least").alias("x")).select("x.key.none", "x.key.id", "x.key.h", "x.n")
     stay = materialize(stay, "near-stay")
-    release(nodes, shared, pairs, sets, near, found, named, open_, more, roots)
+    release(nodes, shared, near, found, named, open_, more, roots)
     return stay
 
 

@@ -44,7 +44,7 @@ NAME = "op9_toxicity_chain"
 CATEGORIES = ("poor", "toxic", "toxic_poor")
 SAMPLE, FOLDS, FEATURES, THRESHOLD = 6000, 5, 1500, 0.5
 PREFIXES = (4, 5, 6, 7)
-SLOT_BITS = 20
+SLOT_BITS, LEAST = 20, 3
 WORD = re.compile(r"\w+")
 
 
@@ -117,10 +117,14 @@ class Chain:
 
 
 class Hits:
-    """Counts of all documents of the sample as flat arrays: document, slot, count; and their numbers of words."""
+    """Counts of all documents of the sample as flat arrays: document, slot, count; and their numbers of words.
+
+    Slots that fewer than ``LEAST`` of the documents hold say nothing of others and are left out.
+    """
 
     def __init__(self, rows: np.ndarray, found: np.ndarray, counted: np.ndarray, words: np.ndarray):
-        self.r, self.f, self.n, self.size = rows, found, counted, np.log1p(words)
+        kept = (np.bincount(found, minlength=1 << SLOT_BITS) >= LEAST)[found]
+        self.r, self.f, self.n, self.size = rows[kept].astype(np.int32), found[kept].astype(np.int32), counted[kept].astype(np.float32), np.log1p(words)
 
     @classmethod
     def of(cls, texts: list[str | None]) -> "Hits":
@@ -229,12 +233,13 @@ def sample_counts(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
 def fit_chain(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
     """The chain fitted to the bounded labelled sample."""
     t = sample_counts(docs, labels, sample).toArrow().combine_chunks()
-    flat = lambda name: pa.concat_arrays([c.flatten() for c in t.column(name).chunks]).to_numpy().astype(np.int64) if t.num_rows else np.zeros(0, np.int64)
+    flat = lambda name: pa.concat_arrays([c.flatten() for c in t.column(name).chunks]).to_numpy() if t.num_rows else np.zeros(0, np.int32)
     sizes = np.array(pc.list_value_length(t.column("slots")), np.int64)
-    hits = Hits(np.repeat(np.arange(t.num_rows), sizes), flat("slots"), flat("counts"), t.column("words").to_numpy().astype(float))
+    hits = Hits(np.repeat(np.arange(t.num_rows, dtype=np.int32), sizes), flat("slots"), flat("counts"), t.column("words").to_numpy().astype(float))
     quality, toxic = t.column("quality").to_numpy(), t.column("toxic").to_numpy()
     poor, toxic = (quality == 0).astype(int), (toxic != 0).astype(int)
     folds = ((t.column("place").to_numpy() & 0xFFFF) % FOLDS).tolist()
+    del t
     return train(hits, dict(zip(CATEGORIES, (poor, toxic, poor & toxic))), folds)
 
 
