@@ -45,7 +45,8 @@ from weavemine.session import table
 NAME = "op8_bpe_automaton"
 START = -1
 PIECE = 1 << 20
-MEMO, ARCS = 200_000, 500_000
+SHORT = (3, 2, 1)
+MEMO, ARCS = 250_000, 500_000
 CONTROLS = re.compile("[\x1c-\x1f]")
 #: Code points, first and last, that the regex module's Unicode tables have as letters or numbers and the
 #: tokenizers library's, which are those of Unicode 16, do not.
@@ -104,10 +105,12 @@ class MergeAutomaton:
         #: Labels that can stand inside a word, and at its end.
         self.inner = {s: t for s, t in self.open.items() if not suffix or not s.endswith(suffix)}
         self.final = {s.removesuffix(suffix): t for s, t in self.open.items() if s.endswith(suffix)} if suffix else self.inner
-        #: By its last four symbols, the longest label that ends so; labels of up to three symbols need no entry.
-        self.far: dict[str, int] = {}
+        #: By its last four symbols, how long labels can be that end so, longest first.
+        lengths: dict[str, set[int]] = {}
         for label in (*self.inner, *self.final):
-            self.far[label[-4:]] = max(self.far.get(label[-4:], 3), len(label))
+            if len(label) > 3:
+                lengths.setdefault(label[-4:], set()).add(len(label))
+        self.ends = {k: (*sorted(v, reverse=True), *SHORT) for k, v in lengths.items()}
 
     def _gadget(self, k: int, u: int, v: int, w: int, never: int) -> None:
         if u not in self.left or v not in self.left:
@@ -145,37 +148,49 @@ class MergeAutomaton:
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of one pre-split word, already in byte symbols."""
-        n, far, table, step = len(word), self.far.get, self.table.get, self.step
-        states: list[int | None] = [START] + [None] * n  # by place: the token whose arc ends there
-        came = [-1] * (n + 1)  # the place where that arc begins, or the one that is being looked at
-        asked, label = [n], self.final.get
-        while asked:
-            j = asked[-1]
-            i = came[j] if came[j] >= 0 else j - min(j, far(word[max(0, j - 4) : j], 3))
-            while i < j:
-                t = label(word[i:j])
-                if t is not None:
-                    if i == 0:
-                        break
-                    s = states[i]
-                    if s is None:
-                        asked.append(i)
-                        break
-                    open_ = table((s << 32) | t)
-                    if step(s, t) if open_ is None else open_:
-                        break
-                i += 1
+        if (t := self.final.get(word)) is not None:
+            return [t]
+        inner, ends, table, step = self.inner.get, self.ends.get, self.table.get, self.step
+        states: dict[int, int] = {}  # by place: the token whose arc ends there
+        came: dict[int, int] = {}  # the place where that arc begins
+        asking: list[tuple] = []  # places whose state rests on one that is being looked up, with the label tried there
+        j = n = len(word)
+        label, sizes = self.final.get, iter(ends(word[-4:], SHORT))
+        while True:
+            for k in sizes:
+                i = j - k
+                if i < 0 or (t := label(word[i:j])) is None:
+                    continue
+                if not i:
+                    break
+                s = states.get(i)
+                if s is None:
+                    asking.append((j, sizes, t))
+                    label, j, sizes = inner, i, iter(ends(word[i - 4 if i > 4 else 0 : i], SHORT))
+                    i = -1
+                    break
+                leaves = table((s << 32) | t)
+                if step(s, t) if leaves is None else leaves:
+                    break
             else:
                 raise ValueError(f"no path spells {word!r}")
-            came[j] = i
-            if asked[-1] == j:
-                states[j] = t
-                asked.pop()
-            label = self.final.get if asked and asked[-1] == n else self.inner.get
-        path, j = [], n
-        while j:
-            path.append(states[j])
-            j = came[j]
+            if i < 0:
+                continue
+            states[j], came[j] = t, i
+            while asking:
+                i, s = j, t
+                j, sizes, t = asking.pop()
+                leaves = table((s << 32) | t)
+                if not (step(s, t) if leaves is None else leaves):
+                    label = inner if j < n else self.final.get
+                    break
+                states[j], came[j] = t, i
+            else:
+                break
+        path = []
+        while n:
+            path.append(states[n])
+            n = came[n]
         return path[::-1]
 
 

@@ -15,8 +15,8 @@ completed exactly, by an index of shingles:
    whose place is first, the likeliest centre of a group.
 3. Members of a posting that are in different components then are verified
    pair by pair, where places, sizes and parity maps (a set's shingles counted
-   modulo 2 in ``CELLS`` cells; maps differ in no more cells than the sets do in
-   members) leave it possible. Nothing is capped, and every pair that reaches
+   modulo 2 in about as many cells; maps differ in no more cells than the sets do
+   in members) leave it possible. Nothing is capped, and every pair that reaches
    the similarity is linked, so a group of near copies costs a few rows a member.
 
 Words are split as in operator 10 (A-Z lowered, ASCII white space). Fewer words
@@ -44,7 +44,8 @@ from weavemine.session import materialize, release
 SHINGLE, SEED = 5, 42
 #: The least similarity, as a fraction.
 PART, WHOLE = 4, 5
-CELLS = 256
+#: Cells of a parity map, at least and at most.
+CELLS, CELLS_MOST = 256, 1 << 15
 #: Frequent shingles known to every task, at most; those a task reports, at most and at least so often.
 LISTED, REPORTED, OFTEN = 1 << 16, 1 << 11, 8
 _STEP = 0x9E3779B97F4A7C15
@@ -93,9 +94,14 @@ def fingerprint(shingles: np.ndarray) -> int:
     return simhash.over_half(simhash.set_bits(shingles), len(shingles)) if len(shingles) else 0
 
 
-def parity(shingles: np.ndarray) -> np.ndarray:
-    """CELLS bits as longs: which cells an odd number of the hashes fall into."""
-    odd = np.bincount((shingles & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS) & 1
+def parity(shingles: np.ndarray, cells: int | None = None) -> np.ndarray:
+    """One bit a cell, as longs: which cells an odd number of the hashes fall into. A power of two of cells, about one a member.
+
+    A map of half as many cells is the exclusive or of the halves of this one.
+    """
+    if cells is None:
+        cells = min(CELLS_MOST, max(CELLS, 1 << max(0, len(shingles) - 1).bit_length()))
+    odd = np.bincount((shingles & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -144,6 +150,11 @@ def prefix(shingles: np.ndarray, listed: np.ndarray, counts: np.ndarray) -> np.n
 _PARITY = [f"p{k}" for k in range(CELLS // 64)]
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0] + [len(x) for x in arrays]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays).view(np.int64) if arrays else np.zeros(0, np.int64)))
+
+
 def _read(docs: DataFrame) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]]:
     """(key, node, size, fp, parity) of every row, and the corpus's frequent shingles with their counts."""
     kind = docs.schema["key"].dataType.simpleString()
@@ -152,21 +163,22 @@ def _read(docs: DataFrame) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, key = _Frequent(), None
         for b in batches:
-            rows = []
+            rows, maps = [], []
             for t in b.column(1):
                 s = shingle_set(t.as_py())
                 frequent.add(s)
-                rows.append((node_of(s), len(s), fingerprint(s), *parity(s).tolist()))
+                rows.append((node_of(s), len(s), fingerprint(s), *parity(s, CELLS).tolist()))
+                maps.append(parity(s))
             key = b.column(0).type
             found = [pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * (3 + len(_PARITY))
-            yield pa.RecordBatch.from_arrays([b.column(0), *found, *[pa.nulls(len(rows), pa.int64())] * 2], ["key", *longs])
+            yield pa.RecordBatch.from_arrays([b.column(0), *found, *[pa.nulls(len(rows), pa.int64())] * 2, _lists(maps)], ["key", *longs, "map"])
         frequent.settle()
         if key is not None and (most := [x for x in frequent.most(REPORTED) if x[1] >= OFTEN]):
             s, n = np.array([x[0] for x in most], np.uint64).view(np.int64), [x[1] for x in most]
             none = [pa.nulls(len(n), pa.int64())] * (3 + len(_PARITY))
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(n), key), *none, pa.array(s), pa.array(n, pa.int64())], ["key", *longs])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(n), key), *none, pa.array(s), pa.array(n, pa.int64()), pa.nulls(len(n), pa.list_(pa.int64()))], ["key", *longs, "map"])
 
-    read = materialize(docs.select("key", "text").mapInArrow(run, f"key {kind}, " + ", ".join(f"{c} long" for c in longs)), "near-read")
+    read = materialize(docs.select("key", "text").mapInArrow(run, f"key {kind}, " + ", ".join(f"{c} long" for c in longs) + ", map array<long>"), "near-read")
     # at most LISTED rows, however large the corpus: only the order of shingles depends on them
     most = read.where("s IS NOT NULL").groupBy("s").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "s").limit(LISTED).collect()
     s = np.array([r.s for r in most], np.int64).view(np.uint64)
@@ -217,9 +229,7 @@ def _sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
         for b in batches:
             for k in range(0, b.num_rows, 64):
                 sets = [shingle_set(t.as_py()) for t in b.column(0).slice(k, 64)]
-                ends = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), lists], ["node", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), _lists(sets)], ["node", "shingles"])
 
     flat = docs.select("key.*", "text").toDF("none", "id", "h", "text")
     wanted = keys.select("key.*").toDF("none", "id", "h")
@@ -229,9 +239,14 @@ def _sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
 
 def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(src, dst): the pairs (a, b) whose similarity is at least PART / WHOLE. Only sets of pairs that sizes and parity maps leave open are fetched."""
-    x, y = (nodes.select(F.col("node").alias(k), F.col("size").alias(f"size{k}"), *[F.col(p).alias(f"{p}{k}") for p in _PARITY]) for k in "ab")
+    x, y = (nodes.select(F.col("node").alias(k), F.col("size").alias(f"size{k}"), F.col("map").alias(f"map{k}")) for k in "ab")
     sized = F.lit(WHOLE) * F.least("sizea", "sizeb") >= F.lit(PART) * F.greatest("sizea", "sizeb")
-    left = materialize(pairs.join(x, "a").join(y, "b").where(sized & _few_odd("a", "b")).select("a", "b").distinct(), "near-pairs")
+    half = lambda m, n: F.when(F.size(m) > n, F.zip_with(F.slice(m, F.lit(1), n), F.slice(m, n + 1, n), lambda p, q: p.bitwiseXOR(q))).otherwise(F.col(m))
+    cells = F.least(F.size("mapa"), F.size("mapb"))
+    apart = F.aggregate(F.zip_with(half("mapa", cells), half("mapb", cells), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, n: s + n)
+    few = (PART + WHOLE) * apart <= (WHOLE - PART) * (F.col("sizea") + F.col("sizeb"))
+    left = pairs.distinct().join(x, "a").join(y, "b").where(sized).where(few).select("a", "b")
+    left = materialize(left, "near-pairs")
     wanted = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
     sets = _sets(docs, nodes.join(wanted, "node", "left_semi").select("least.key"))
     x, y = (sets.select(F.col("node").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
@@ -244,7 +259,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _few_odd(a: str, b: str) -> Column:
-    """Whether the parity maps leave two sets similar."""
+    """Whether the parity maps of CELLS cells leave two sets similar."""
     apart = sum((F.bit_count(F.col(f"{p}{a}").bitwiseXOR(F.col(f"{p}{b}"))) for p in _PARITY), F.lit(0))
     return (PART + WHOLE) * apart <= (WHOLE - PART) * (F.col(f"size{a}") + F.col(f"size{b}"))
 
@@ -260,7 +275,7 @@ def _by_fingerprint(nodes: DataFrame) -> DataFrame:
 def near_copies(docs: DataFrame) -> DataFrame:
     """(none, id, h, n) of the least key of each component of near copies, from (key, text); n counts the rows with that key."""
     keyed, frequent = _read(docs)
-    facts = [F.first(c).alias(c) for c in ("size", "fp", *_PARITY)]
+    facts = [F.first(c).alias(c) for c in ("size", "fp", "map", *_PARITY)]
     nodes = keyed.groupBy("key", "node").agg(F.count("*").alias("n"), *facts).groupBy("node").agg(F.min(F.struct("key", "n")).alias("least"), *facts)
     nodes = materialize(nodes, "near-nodes")
     shared = _postings(docs, frequent)
