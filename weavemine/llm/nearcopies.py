@@ -55,7 +55,7 @@ class _Words(dict):
     """Hashes of words; emptied when it has grown to its bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 18:
+        if len(self) >= 1 << 16:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word, SEED)
         return h
@@ -115,7 +115,7 @@ class _Frequent:
     def add(self, shingles: np.ndarray) -> None:
         self.waiting.append(shingles)
         self.size += len(shingles)
-        if self.size >= 1 << 20:
+        if self.size >= 1 << 18:
             self.settle()
 
     def settle(self) -> None:

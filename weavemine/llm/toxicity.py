@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weavemine.session import table
+from weavemine.session import materialize, release, table
 
 NAME = "op9_toxicity_chain"
 CATEGORIES = ("poor", "toxic", "toxic_poor")
@@ -88,7 +88,7 @@ class Chain:
 
     def _hits(self, word: str) -> tuple:
         """(model, weight index) pairs of a word; memo of bounded size."""
-        if len(self._words) >= 200_000:
+        if len(self._words) >= 100_000:
             self._words.clear()
         at = slots(word)
         hit = self._words[word] = tuple((m, i) for m, model in enumerate(self.models) for s in at if (i := model.vocabulary.get(s)) is not None)
@@ -227,12 +227,40 @@ def sample_counts(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
             yield pa.RecordBatch.from_arrays([*b.columns[:5], *more], ["doc_id", "quality", "toxic", "place", "tie", "words", "slots", "counts"])
 
     counted = found.select("doc_id", "quality", "toxic", *place, "text").mapInArrow(run, f"doc_id {kind}, quality long, toxic long, place long, tie long, words long, slots array<int>, counts array<int>")
-    return counted.orderBy("place", "doc_id", "tie", "quality", "toxic").limit(sample)
+    counted = materialize(counted, "toxicity-counts")
+    kept = counted.select("place", "doc_id", "tie", "quality", "toxic").orderBy("place", "doc_id", "tie", "quality", "toxic")
+    if counted.count() > sample:  # ids repeat
+        last = kept.limit(sample).agg(F.max(F.struct("place", "doc_id", "tie", "quality", "toxic")).alias("last")).first()["last"]
+        key = F.struct("place", "doc_id", "tie", "quality", "toxic")
+        counted = counted.where(key <= F.struct(*[F.lit(last[c]).cast(counted.schema[c].dataType) for c in ("place", "doc_id", "tie", "quality", "toxic")])).limit(sample)
+    return counted
+
+
+def without_rare(counted: DataFrame, least: int = LEAST) -> DataFrame:
+    """The same with only those slots that ``least`` rows or more hold; there are ``2 ** SLOT_BITS`` slots at most."""
+    held = counted.select(F.explode("slots").alias("slot")).groupBy("slot").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("slot").toArrow()
+    often = np.zeros(1 << SLOT_BITS, bool)
+    often[held.column("slot").to_numpy()] = True
+    bits = np.packbits(often)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = np.unpackbits(bits).astype(bool)
+        for b in batches:
+            at = b.schema.get_field_index("slots")
+            lists = [b.column(at), b.column(at + 1)]
+            keep = often[lists[0].flatten().to_numpy()]
+            ends = np.cumsum([0, *lists[0].value_lengths().to_pylist()])
+            ends = pa.array(np.concatenate([[0], np.cumsum(keep)])[ends].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*b.columns[:at], *[pa.ListArray.from_arrays(ends, x.flatten().filter(pa.array(keep))) for x in lists]], b.schema.names)
+
+    return counted.mapInArrow(run, counted.schema)
 
 
 def fit_chain(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
     """The chain fitted to the bounded labelled sample."""
-    t = sample_counts(docs, labels, sample).toArrow().combine_chunks()
+    counted = sample_counts(docs, labels, sample)
+    t = without_rare(counted).orderBy("place", "doc_id", "tie", "quality", "toxic").toArrow().combine_chunks()
+    release(counted)
     flat = lambda name: pa.concat_arrays([c.flatten() for c in t.column(name).chunks]).to_numpy() if t.num_rows else np.zeros(0, np.int32)
     sizes = np.array(pc.list_value_length(t.column("slots")), np.int64)
     hits = Hits(np.repeat(np.arange(t.num_rows, dtype=np.int32), sizes), flat("slots"), flat("counts"), t.column("words").to_numpy().astype(float))
