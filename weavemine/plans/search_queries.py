@@ -116,14 +116,14 @@ def prefix_search(spark, d):
     return posted.join(words, "word", "left_semi").groupBy("doc_id").agg(F.countDistinct("word").alias("words"), F.count("*").alias("hits"))
 
 
-FLAT = "trim(regexp_replace(regexp_replace(regexp_replace(lower(text), '\\[([^\\]]*)\\]\\([^)]*\\)', '\\1', 'g'), '[*_`#>|]+', ' ', 'g'), '\\s+', ' ', 'g'))"
+FLAT = r"trim(regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(text, '<sub>trace: `[^`]*`</sub>', '', 'g'), '\[((?:[^\[\]\\]|\\.)*)\]\([^)]*\)', '\1', 'g')), '[`*\\]', '', 'g'), '[\s\x0B]+', ' ', 'g'))"
 
 
 @query("phrase_search", f"SELECT b.item_id, f.doc_id FROM (SELECT doc_id, {FLAT} AS flat FROM documents) f JOIN (SELECT item_id, {FLAT} AS flat FROM benchmark) b ON contains(f.flat, b.flat)")
 def phrase_search(spark, d):
     flat = flatten_for_phrases(F.col("text")).alias("flat")
-    docs = table(spark, d, "documents").select("doc_id", flat, F.array_distinct(search_words(F.col("text"))).alias("words"))
-    items = table(spark, d, "benchmark").select("item_id", flat.alias("phrase"), search_words(F.col("text")).alias("asked"))
+    docs = table(spark, d, "documents").select("doc_id", flat).withColumn("words", F.array_distinct(search_words(F.col("flat"))))
+    items = table(spark, d, "benchmark").select("item_id", flat.alias("phrase")).withColumn("asked", search_words(F.col("phrase")))
     # a phrase can only be where its longest inner word is: an equi-join finds the candidates
     inner = F.when(F.size("asked") > 2, F.slice("asked", F.lit(2), F.greatest(F.size("asked") - 2, F.lit(0)))).otherwise(F.array().cast("array<string>"))
     longest = F.array_max(F.transform(inner, lambda w: F.struct(F.char_length(w).alias("n"), w.alias("w"))))["w"]

@@ -207,8 +207,9 @@ def token_windows(spark, d):
     return chunking.token_windows(table(spark, d, "documents").select(F.col("doc_id").alias("doc"), F.size(T.search_words(F.col("text"))).alias("n")))
 
 
-@query("token_estimate", """WITH t AS (SELECT source, regexp_extract_all(text, '[A-Za-z]+') AS w, regexp_extract_all(text, '[0-9]+') AS d, len(regexp_extract_all(text, '[^\\s\\x0BA-Za-z0-9]')) AS m FROM documents)
-SELECT source, count(*) AS n, CAST(sum(CAST(ceil(round(1.2 * (1.07 * len(w) + 0.415 * coalesce(list_sum(list_transform(w, lambda x: greatest(length(x) - 6, 0))), 0) + 0.42 * len(d) + 0.375 * coalesce(list_sum(list_transform(d, lambda x: length(x))), 0) + 0.95 * m), 9)) AS BIGINT)) AS BIGINT) AS tokens FROM t GROUP BY source""")
+@query("token_estimate", """WITH t AS (SELECT source, regexp_extract_all(text, '[A-Za-z]+') AS w, regexp_extract_all(text, '[0-9]+') AS d, len(regexp_extract_all(text, '[^\\s\\x0BA-Za-z0-9]')) AS m,
+  len(regexp_extract_all(text, '\\p{L}')) - len(regexp_extract_all(text, '[A-Za-z]')) AS u FROM documents)
+SELECT source, count(*) AS n, CAST(sum(CAST(ceil(round(1.2 * (1.07 * (len(w) + u) + 0.415 * coalesce(list_sum(list_transform(w, lambda x: greatest(length(x) - 6, 0))), 0) + 0.42 * len(d) + 0.375 * coalesce(list_sum(list_transform(d, lambda x: length(x))), 0) + 0.95 * (m - u)), 9)) AS BIGINT)) AS BIGINT) AS tokens FROM t GROUP BY source""")
 def token_estimate(spark, d):
     return table(spark, d, "documents").groupBy("source").agg(F.count("*").alias("n"), F.sum(T.token_estimate(F.col("text"))).alias("tokens"))
 
