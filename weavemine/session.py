@@ -15,7 +15,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written: shuffle files go once it is there, and batches for Python are of a size that whole texts fit.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "512"}
 _OWN_DIR: list[str] = []
 _WRITTEN: list[str] = []
 
@@ -65,12 +66,14 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    was = spark.conf.get(_TIDY, None)
-    spark.conf.set(_TIDY, "true")
+    was = {k: spark.conf.get(k, None) for k in _WRITING}
+    for k, v in _WRITING.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.unset(_TIDY) if was is None else spark.conf.set(_TIDY, was)
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     out = spark.read.schema(df.schema).parquet(path)
     out._weavemine_path = path
     return out
