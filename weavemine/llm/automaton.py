@@ -46,7 +46,7 @@ NAME = "op8_bpe_automaton"
 START = -1
 PIECE = 1 << 20
 SHORT = (3, 2, 1)
-MEMO, ARCS = 120_000, 200_000
+MEMO, ARCS = 150_000, 200_000
 CONTROLS = re.compile("[\x1c-\x1f]")
 #: Code points, first and last, that the regex module's Unicode tables have as letters or numbers and the
 #: tokenizers library's, which are those of Unicode 16, do not.

@@ -204,13 +204,13 @@ def _postings(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            columns: list[list[np.ndarray]] = [[], [], [], []]
-            for t in b.column(0):
-                s = shingle_set(t.as_py())
-                p = prefix(s, listed, counts)
-                for c, x in zip(columns, (p.view(np.int64), np.full(len(p), node_of(s)), np.arange(len(p), dtype=np.int32), np.full(len(p), len(s), np.int32))):
-                    c.append(x)
-            if columns[0]:
+            for k in range(0, b.num_rows, 128):
+                columns: list[list[np.ndarray]] = [[], [], [], []]
+                for t in b.column(0).slice(k, 128):
+                    s = shingle_set(t.as_py())
+                    p = prefix(s, listed, counts)
+                    for c, x in zip(columns, (p.view(np.int64), np.full(len(p), node_of(s)), np.arange(len(p), dtype=np.int32), np.full(len(p), len(s), np.int32))):
+                        c.append(x)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["s", "node", "pos", "size"])
 
     posted = materialize(docs.select("text").mapInArrow(run, "s long, node long, pos int, size int"), "near-posted")

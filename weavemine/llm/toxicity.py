@@ -88,7 +88,7 @@ class Chain:
 
     def _hits(self, word: str) -> tuple:
         """(model, weight index) pairs of a word; memo of bounded size."""
-        if len(self._words) >= 100_000:
+        if len(self._words) >= 50_000:
             self._words.clear()
         at = slots(word)
         hit = self._words[word] = tuple((m, i) for m, model in enumerate(self.models) for s in at if (i := model.vocabulary.get(s)) is not None)
