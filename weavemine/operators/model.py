@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 #: Fixed values of the metamodel: section roles, package kinds, end roles by precedence, relationship kinds.
 SECTION_ROLES = ("packagedElement", "ownedBehavior", "nestedClassifier", "ownedUseCase", "ownedDiagram", "nestedPackage", "ownedStereotype", "classifierBehavior")
 PACKAGE_KINDS = ("Model", "Package", "Profile")
-END_ROLES = (("client", "supplier"), ("source", "target"), ("informationSource", "informationTarget"), ("includingCase", "addition"), ("extension", "extendedCase"), ("specific", "general"))
+END_ROLES = (("client", "supplier"), ("source", "target"), ("informationSource", "informationTarget"), ("includingCase", "addition"), ("extension", "extendedCase"), ("specific", "general"), ("sendEvent", "receiveEvent"))
 OWNER_TO = {"Generalization": ("general",), "Include": ("addition",), "Extend": ("extendedCase",), "InterfaceRealization": ("contract", "supplier"), "PackageImport": ("importedPackage", "supplier"), "ElementImport": ("importedElement", "supplier"), "ProfileApplication": ("appliedProfile", "supplier")}
 RELATIONSHIP_KINDS = ("Dependency", "Abstraction", "Realization", "Usage", "Generalization", "InterfaceRealization", "Association", "AssociationClass", "Connector", "ControlFlow", "ObjectFlow", "Transition", "Include", "Extend", "InformationFlow", "Message", "PackageImport", "ElementImport", "Substitution", "ComponentRealization", "TemplateBinding", "ProfileApplication")
 WORDING = (("derivereqt", "is derived from", "derived into"), ("satisfy", "satisfies", "satisfied by"), ("verify", "verifies", "verified by"), ("refine", "refines", "refined by"), ("trace", "traces to", "traced from"), ("allocate", "is allocated to", "allocated from"), ("copy", "is a copy of", "copied by"), ("generalization", "is a kind of", "specialized by"), ("include", "includes", "included by"), ("extend", "extends", "extended by"), ("realization", "realizes", "realized by"), ("interfacerealization", "realizes", "realized by"), ("usage", "uses", "used by"), ("dependency", "depends on", "depended on by"), ("abstraction", "depends on", "depended on by"))
