@@ -63,10 +63,10 @@ def one_sided_questions(spark, d):
     return G.one_sided(e.where("question % 5 <> 0"), e.where("question % 7 <> 0"))
 
 
-@query("judge_consensus", """WITH j AS (SELECT user_id % 7 AS question, event_id % 50 AS w, max(CAST(value AS INTEGER) % 3) FILTER (event_type = 'click') AS a, max(CAST(value AS INTEGER) % 3) FILTER (event_type = 'view') AS b, max(CAST(value AS INTEGER) % 3) FILTER (event_type = 'purchase') AS t FROM events GROUP BY ALL)
+@query("judge_consensus", """WITH j AS (SELECT user_id % 7 AS question, event_id % 50 AS w, max(CAST(floor(value) AS INTEGER) % 3) FILTER (event_type = 'click') AS a, max(CAST(floor(value) AS INTEGER) % 3) FILTER (event_type = 'view') AS b, max(CAST(floor(value) AS INTEGER) % 3) FILTER (event_type = 'purchase') AS t FROM events GROUP BY ALL)
 SELECT question, w AS "window", CASE WHEN a = b THEN a WHEN a IS NOT NULL AND b IS NOT NULL THEN coalesce(t, least(a, b)) ELSE coalesce(a, b) END AS grade FROM j WHERE a IS NOT NULL OR b IS NOT NULL""")
 def judge_consensus(spark, d):
-    j = table(spark, d, "events").select(F.lit(1).alias("set"), (F.col("user_id") % 7).alias("question"), (F.col("event_id") % 50).alias("window"), F.col("event_type").alias("judge"), (F.round("value").cast("int") % 3).alias("grade"))
+    j = table(spark, d, "events").select(F.lit(1).alias("set"), (F.col("user_id") % 7).alias("question"), (F.col("event_id") % 50).alias("window"), F.col("event_type").alias("judge"), (F.floor("value").cast("int") % 3).alias("grade"))
     return G.consensus_grades(j, "click", "view", "purchase").drop("set")
 
 
