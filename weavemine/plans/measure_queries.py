@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weavemine.operators import grading as G
 from weavemine.operators import query as Q
+from weavemine.operators import subjects as U
 from weavemine.plans.registry import query
 from weavemine.plans.search_queries import TOKENS
 from weavemine.session import table
@@ -110,3 +111,47 @@ def query_language(spark, d):
     none = F.lit(None).cast("string")
     items = table(spark, d, "documents").select(F.col("doc_id").alias("doc"), none.alias("id"), F.concat_ws(" ", "source", "lang").alias("name"), none.alias("place"), "text", none.alias("chunks"), none.alias("of"), F.lit("document").alias("type"), F.col("lang").alias("project"))
     return Q.search(Q.Index.build(items), items, ASKED, project=F.col("project") != "de", kind="document")
+
+
+@query("subject_overlaps", """WITH s AS (SELECT DISTINCT l_suppkey AS id, l_suppkey % 5 AS family, l_partkey AS element FROM lineitem), n AS (SELECT id, count(*) AS n FROM s GROUP BY id)
+SELECT a.id AS a, b.id AS b, round(count(*) / least(max(x.n), max(y.n)), 6) AS shared FROM s a JOIN s b ON a.element = b.element AND a.id < b.id AND a.family <> b.family JOIN n x ON x.id = a.id JOIN n y ON y.id = b.id GROUP BY a.id, b.id""")
+def subject_overlaps(spark, d):
+    s = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("id"), (F.col("l_suppkey") % 5).alias("family"), F.col("l_partkey").alias("element"))
+    return U.shared_elements(s).withColumn("shared", F.round("shared", 6))
+
+
+@query("topic_sizes", """WITH t AS (SELECT lang, count(DISTINCT doc_id) AS n, count(DISTINCT source) AS f FROM documents GROUP BY lang)
+SELECT count(*) AS topics, round(max(n) / sum(n), 6) AS largest, round(sum(CASE WHEN f > 1 THEN n ELSE 0 END) / sum(n), 6) AS across, round(avg(f), 6) AS families_per_topic FROM t""")
+def topic_sizes(spark, d):
+    return U.topic_measures(table(spark, d, "documents").select(F.col("lang").alias("topic"), F.col("doc_id").alias("subject"), F.col("source").alias("family")))
+
+
+@query("stratum_rates", """SELECT event_type AS stratum, count(*) AS n, round(sum(event_id % 3) / nullif(sum(3), 0), 6) AS names, round(sum(event_id % 2) / nullif(sum(CASE WHEN event_type = 'click' THEN 0 ELSE 2 END), 0), 6) AS found, round(sum(user_id % 2) / nullif(sum(user_id % 4), 0), 6) AS invented
+FROM events GROUP BY GROUPING SETS ((event_type), ())""")
+def stratum_rates(spark, d):
+    c = F.col
+    e = table(spark, d, "events").select(c("event_type").alias("stratum"), (c("event_id") % 3).alias("read"), F.lit(3).alias("words"), (c("event_id") % 2).alias("found"), F.when(c("event_type") == "click", 0).otherwise(2).alias("links"), (c("user_id") % 2).alias("invented"), (c("user_id") % 4).alias("given"))
+    return U.rates(e, "stratum")
+
+
+@query("thin_strata", "SELECT user_id, count(*) FILTER (event_id % 3 = 0) AS asked, count(*) AS n FROM events GROUP BY user_id HAVING 2 * count(*) FILTER (event_id % 3 = 0) < count(*)")
+def thin_strata(spark, d):
+    return U.thin_groups(table(spark, d, "events").select("user_id", (F.col("event_id") % 3 == 0).alias("asked")), "user_id")
+
+
+@query("trial_difference", "WITH t AS (SELECT event_id % 5 / 4.0::DOUBLE - event_id % 3 / 2.0::DOUBLE AS d FROM events) SELECT count(*) AS n, round(avg(d), 6) AS difference, round(stddev_samp(d) / sqrt(count(*)), 6) AS se FROM t")
+def trial_difference(spark, d):
+    t = U.paired_difference(table(spark, d, "events").select("event_id", (F.col("event_id") % 3 / 2.0).alias("first"), (F.col("event_id") % 5 / 4.0).alias("later")))
+    return t.select("n", F.round("difference", 6).alias("difference"), F.round("se", 6).alias("se"))
+
+
+@query("group_targets", "SELECT p_partkey, CAST(greatest(2, least(15, round_even(sqrt(p_partkey / 2.0::DOUBLE), 0))) AS INTEGER) AS groups FROM part")
+def group_targets(spark, d):
+    return table(spark, d, "part").select("p_partkey", U.target_groups(F.col("p_partkey")).alias("groups"))
+
+
+@query("view_groups", """WITH g AS (SELECT source AS "group", count(*) AS size, string_agg(doc_id, ',' ORDER BY doc_id) AS members FROM documents GROUP BY source)
+SELECT "group", CAST(row_number() OVER (ORDER BY size DESC, "group") AS INTEGER) AS pos, size, members FROM g""")
+def view_groups(spark, d):
+    g = U.view_groups(table(spark, d, "documents").select(F.col("source").alias("group"), F.col("doc_id").alias("key")))
+    return g.withColumn("members", F.array_join(F.transform("members", lambda x: x.cast("string")), ","))
