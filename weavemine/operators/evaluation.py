@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def graded_metrics(ranked: DataFrame) -> DataFrame:
@@ -75,7 +76,7 @@ def isotonic(points: DataFrame, x: str, y: str, w: str) -> DataFrame:
 
     One sequential pass over x in order; x are aggregated levels, few by nature.
     """
-    shape = points.schema.add("fit", "double")
+    shape = StructType([*points.schema.fields, StructField("fit", DoubleType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(batches), ignore_index=True)
