@@ -15,6 +15,7 @@ MODULES = [
     "suffixes",
     "pii",
     "simhash",
+    "byte_bpe",
 ]
 
 
