@@ -16,6 +16,7 @@ MODULES = [
     "pii",
     "simhash",
     "byte_bpe",
+    "divergence",
 ]
 
 
