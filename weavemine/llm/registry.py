@@ -17,6 +17,7 @@ MODULES = [
     "simhash",
     "byte_bpe",
     "divergence",
+    "spelling",
 ]
 
 
