@@ -320,19 +320,20 @@ def natural_key(text: Column) -> Column:
     )
 
 
-def token_estimate(text: Column) -> Column:
-    """About how many tokens an embedding model makes of the text.
+#: What a word weighs, and each letter past so many; a number and each digit; any other mark; and the share added.
+WORD, LETTER, LETTERS = 1.07, 0.415, 6
+NUMBER, DIGIT, MARK, SPARE = 0.42, 0.375, 0.95, 1.2
+
 
-    Fixed values: a word 1.07 and .415 for each letter past the sixth, a number
-    .42 and .375 a digit, any other mark .95, but each letter beyond A to Z counts as a word; a fifth is added.
-    """
+def token_estimate(text: Column) -> Column:
+    """About how many tokens an embedding model makes of the text, by weights; each letter beyond A to Z counts as a word."""
     count = lambda pattern: F.regexp_count(text, F.lit(pattern))
     letters = lambda pattern: F.char_length(F.regexp_replace(text, pattern, ""))
     beyond = count(r"[\p{L}&&[^A-Za-z]]")
     words, numbers, marks = count("[A-Za-z]+") + beyond, count("[0-9]+"), count(r"[^\sA-Za-z0-9]") - beyond
-    long_part = F.aggregate(F.regexp_extract_all(text, F.lit("[A-Za-z]{7,}"), F.lit(0)), F.lit(0), lambda n, w: n + F.char_length(w) - 6)
-    total = 1.07 * words + 0.415 * long_part + 0.42 * numbers + 0.375 * letters("[^0-9]") + 0.95 * marks
-    return F.ceil(F.round(1.2 * total, 9)).cast("long")
+    long_part = F.aggregate(F.regexp_extract_all(text, F.lit("[A-Za-z]{%d,}" % (LETTERS + 1)), F.lit(0)), F.lit(0), lambda n, w: n + F.char_length(w) - LETTERS)
+    total = WORD * words + LETTER * long_part + NUMBER * numbers + DIGIT * letters("[^0-9]") + MARK * marks
+    return F.ceil(F.round(SPARE * total, 9)).cast("long")
 
 
 def strip_tags(html: Column) -> Column:
