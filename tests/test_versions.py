@@ -136,3 +136,10 @@ def test_tasks_and_windows(spark):
     assert rows(G.windowed(u, word_offsets(F.col("text")), 5, 1), "id") == [("u#w0", "a b c", "k"), ("u#w1", "c d e", "k"), ("v", "a", "k")]
     alt = G.alternating(spark.createDataFrame([("p", 1), ("p", 2), ("q", 3)], "project string, k int"), "project", F.col("k"))
     assert [r.k for r in alt.orderBy("pos").collect()] == [1, 3, 2]
+
+
+def test_list_differences_count_repeats(spark):
+    rows = [(1, ["b", "a", "a", None], ["a", "c"]), (2, None, []), (3, ["x"] * 3000, ["x"] * 2998 + ["y"]), (None, ["q"], None)]
+    df = spark.createDataFrame(rows, "k int, x array<string>, y array<string>")
+    got = {r.k: (r.plus, r.minus) for r in V.list_differences(df, ["k"], "x", "y").collect()}
+    assert got == {1: (["a", "b"], ["c"]), 2: ([], []), 3: (["x", "x"], ["y"]), None: (["q"], [])}

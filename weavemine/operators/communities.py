@@ -75,13 +75,10 @@ def _accepted(moves: DataFrame, seed: int, level: int, turn: int) -> DataFrame:
     h = _drawn(seed, level, turn, F.col("node"))
     zeros = F.bit_count(h.bitwiseAND(-h) - 1)  # at the end
     m = m.withColumn("slot", SLOTS - F.least(zeros, F.lit(SLOTS))).withColumn("rank", F.struct("score", "node", "slot", "k"))
-    m = materialize(m, "moves")
     x = m.join(_queue(m, "b"), "b").join(_queue(m, "a"), "a")
     first = (F.col("best_a.node") == F.col("node")) & (F.col("best_b.node") == F.col("node"))
     room = F.col("score") > (F.col("k").cast("decimal(19,0)") * (_ahead("a") + _ahead("b")).cast("decimal(19,0)")).cast(WHOLE)
-    out = materialize(x.where(first | room).select("node", "b"), "moved")
-    release(m)
-    return out
+    return x.where(first | room).select("node", "b")
 
 
 def louvain(nodes: DataFrame, edges: DataFrame, seed: int = 1) -> DataFrame:
@@ -100,18 +97,16 @@ def louvain(nodes: DataFrame, edges: DataFrame, seed: int = 1) -> DataFrame:
     members = materialize(state.select("node", "group"), "members")
     level = 0
     while True:
-        turn, moved = 0, False
+        turn = 0
         while True:
             moves = materialize(_proposals(adj, state), "proposals")
             if moves.isEmpty():
                 release(moves)
                 break
-            taken = _accepted(moves, seed, level, turn)
-            new = materialize(state.join(taken, "node", "left").select("node", F.coalesce("b", "group").alias("group"), "k", "m2"), "state")
-            moved |= not taken.isEmpty()
-            release(moves, taken, state)
+            new = materialize(state.join(_accepted(moves, seed, level, turn), "node", "left").select("node", F.coalesce("b", "group").alias("group"), "k", "m2"), "state")
+            release(moves, state)
             state, turn = new, turn + 1
-        if not moved:
+        if state.where("node <> group").isEmpty():
             break
         to = state.select("node", F.col("group").alias("to"))
         joined = materialize(members.join(to, members["group"] == to["node"]).select(members["node"], F.col("to").alias("group")), "members")

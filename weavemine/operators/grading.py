@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from weavemine.functions import text as T
 from weavemine.functions.prose import spans_text
+from weavemine.operators.ranges import running
 
 RULES = ("source", "parts", "fact", "element")
 QUESTION = (
@@ -211,22 +212,19 @@ def subset_collections(families: Sequence[str], n: int = 9, share: float = 0.6,
 
 def alternating(rows: DataFrame, stratum: str, within: Column) -> DataFrame:
     """``rows`` with ``turn`` and ``pos``: strata take turns, each in its own order."""
-    r = rows.withColumn("turn", F.row_number().over(Window.partitionBy(stratum).orderBy(within)))
-    return r.withColumn("pos", F.row_number().over(Window.orderBy("turn", stratum)))
+    r = running(rows, [within], group=[stratum], before="turn").withColumn("turn", (F.col("turn") + 1).cast("int"))
+    return running(r, ["turn", stratum], before="pos").withColumn("pos", (F.col("pos") + 1).cast("int"))
 
 
 def systematic(rows: DataFrame, order: str, most: int) -> DataFrame:
     """Every step-th row in order, ``most`` of them: the sample is the feature."""
-    w = Window.orderBy(order)
-    n = rows.agg(F.greatest(F.floor(F.count("*") / most), F.lit(1)).alias("step"))
-    r = rows.withColumn("_k", F.row_number().over(w) - 1).crossJoin(n)
-    return r.where((F.col("_k") % F.col("step") == 0) & (F.col("_k") / F.col("step") < most)).drop("_k", "step")
+    r = running(rows, [order], before="_k", total="_n")
+    step = F.greatest(F.floor(F.col("_n") / most), F.lit(1))
+    return r.where((F.col("_k") % step == 0) & (F.col("_k") / step < most)).drop("_k", "_n")
 
 
 def spread_pick(rows: DataFrame, size: str, tie: str, n: int) -> DataFrame:
     """n rows spread over the sizes from the largest down: the sample is the feature."""
-    r = rows.withColumn("_k", F.row_number().over(Window.orderBy(F.desc(size), tie)) - 1)
-    total = rows.agg(F.count("*").alias("_n"))
-    r = r.crossJoin(total)
+    r = running(rows, [F.desc(size), tie], before="_k", total="_n")
     chosen = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.floor(i * F.col("_n") / n))
     return r.where((F.col("_n") <= n) | F.array_contains(chosen, F.col("_k").cast("long"))).drop("_k", "_n")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weavemine.session import materialize
+from weavemine.session import materialize, release
 
 
 def ancestors(nodes: DataFrame) -> DataFrame:
@@ -39,6 +39,27 @@ def qualified_names(nodes: DataFrame, separator: str = "::") -> DataFrame:
 
 
 def nearest_ancestor(nodes: DataFrame, wanted: Column) -> DataFrame:
-    """(id, ancestor, depth): the nearest owner, or the node itself, for which ``wanted`` (over nodes' columns) holds."""
-    good = nodes.where(wanted).select(F.col("id").alias("ancestor"))
-    return ancestors(nodes).join(good, "ancestor").groupBy("id").agg(F.min(F.struct("depth", "ancestor")).alias("x")).select("id", "x.ancestor", "x.depth")
+    """(id, ancestor, depth): the nearest owner, or the node itself, for which ``wanted`` (over nodes' columns) holds.
+
+    Every node keeps one pointer, which jumps as far as the one it points at has
+    come and rests at the first hit: a row a node, in rounds that grow with the
+    logarithm of the way. Ways that end, or turn in a circle, without a hit give no row.
+    """
+    n = nodes.select("id", "owner", F.coalesce(wanted, F.lit(False)).alias("hit"))
+    up = n.join(n.select(F.col("id").alias("owner"), F.col("hit").alias("up_hit")), "owner", "left")
+    at = F.when(F.col("hit"), F.col("id")).when(F.col("up_hit").isNotNull() & (F.col("owner") != F.col("id")), F.col("owner"))
+    state = materialize(up.select("id", at.alias("at"), F.when(F.col("hit"), 0).otherwise(1).alias("depth"), (F.col("hit") | F.coalesce("up_hit", F.lit(False))).alias("rests")).where("at IS NOT NULL"), "ways")
+    longest = state.count()
+    reach = 1
+    while reach <= longest and not state.where("NOT rests").isEmpty():
+        far = state.select(F.col("id").alias("at"), F.col("at").alias("on"), F.col("depth").alias("more"), F.col("rests").alias("there"))
+        moved = state.where("NOT rests").join(far, "at").select("id", F.col("on").alias("at"), (F.col("depth") + F.col("more")).alias("depth"), F.col("there").alias("rests"))
+        new = materialize(state.where("rests").unionByName(moved), "ways")
+        release(state)
+        state, reach = new, reach * 2
+    return state.where("rests").select("id", F.col("at").alias("ancestor"), "depth")
+
+
+def tree_depths(nodes: DataFrame) -> DataFrame:
+    """(id, depth): how many owners each node of (id, owner) has; 0 for those without a known one, no row on a circle."""
+    return nearest_ancestor(nodes.join(nodes.select(F.col("id").alias("owner"), F.lit(True).alias("_there")).distinct(), "owner", "left"), F.col("_there").isNull()).select("id", "depth")

@@ -9,6 +9,7 @@ from weavemine.functions import text as T
 from weavemine.functions.origins import external_label
 from weavemine.operators import hierarchy, threads
 from weavemine.operators.model import PACKAGE_KINDS, RELATIONSHIP_KINDS, WORDING, is_section, kind
+from weavemine.session import materialize
 
 KEY = ["project", "id"]
 #: Kept on diagrams by the tool itself: never shown.
@@ -59,18 +60,19 @@ def value_texts(elements: DataFrame, refs: DataFrame, names: DataFrame) -> DataF
         .when(k != "Expression", F.coalesce(attr("value"), attr("body"), F.col("name")))
     )
     rows = elements.join(pointed, KEY, "left").select("project", "id", "owner", "role", "pos", k.alias("kind"), value.alias("value"), F.coalesce(attr("symbol"), F.lit("")).alias("symbol"))
+    rows = materialize(rows, "values")
     done, open_ = rows.where("kind <> 'Expression'").select("project", "id", "value"), rows.where("kind = 'Expression'").select("project", "id", "symbol")
     operands = rows.where("role = 'operand'").select("project", F.col("owner").alias("whole"), "id", "pos")
     while not open_.isEmpty():
         known = operands.join(done, KEY, "left").join(open_.select("project", "id", F.lit(True).alias("waits")), KEY, "left")
         ready = known.groupBy("project", F.col("whole").alias("id")).agg(F.max(F.coalesce("waits", F.lit(False))).alias("waits"), F.transform(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("value", F.lit("")).alias("v")))), lambda x: x["v"]).alias("vs"))
-        now = open_.join(ready, KEY, "left").where("waits IS NULL OR NOT waits")
+        now = materialize(open_.join(ready, KEY, "left").where("waits IS NULL OR NOT waits"), "level")
         if now.isEmpty():  # operands that hold each other
             break
         vs = F.coalesce("vs", F.array().cast("array<string>"))
         told = F.when(F.col("symbol") != "", F.concat("symbol", F.lit("("), F.array_join(vs, ", "), F.lit(")"))).otherwise(F.array_join(vs, " "))
         done = done.unionByName(now.select("project", "id", told.alias("value")))
-        open_ = open_.join(now.select(*KEY), KEY, "left_anti")
+        open_ = materialize(open_.join(now.select(*KEY), KEY, "left_anti"), "open")
     return done.where("value IS NOT NULL")
 
 

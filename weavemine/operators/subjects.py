@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weavemine.operators.identity import nearest, tfidf_pairs
+from weavemine.operators.ranges import running
 
 
 def target_groups(n: Column) -> Column:
@@ -61,8 +62,8 @@ def diagram_graph(shows: DataFrame, context: DataFrame, related: DataFrame) -> D
 
 def random_split(items: DataFrame, key: str, k: int, seed: int = 1) -> DataFrame:
     """(key, group): the baseline, items dealt to k groups in an order that a seed gives."""
-    order = Window.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key)
-    return items.select(key, ((F.row_number().over(order) - 1) % k).alias("group"))
+    dealt = running(items.withColumn("_drawn", F.xxhash64(F.lit(seed), F.col(key))), ["_drawn", key], before="_k")
+    return dealt.select(key, (F.col("_k") % k).cast("int").alias("group"))
 
 
 def common_package(items: DataFrame, group: str, package: str = "package") -> DataFrame:

@@ -193,3 +193,16 @@ def compared_models(items: DataFrame, a: str, b: str) -> DataFrame:
 def also_in(differences_: Column, label: Column) -> Column:
     """One copy elsewhere as a cell says it."""
     return F.concat(label, F.lit(" ("), F.when(F.size(differences_) == 0, "the same").otherwise(F.array_join(differences_, ", ")), F.lit(")"))
+
+
+def list_differences(rows: DataFrame, keys: list[str], here: str, there: str) -> DataFrame:
+    """(keys, plus, minus): what two lists of each key hold more of than each other, repeats counted, sorted.
+
+    Values are counted as rows of their own, so the work grows with the lists, not with their product.
+    Rows with equal keys are read as one; null lists as empty, null values are dropped.
+    """
+    signed = lambda c, n: F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda v: F.struct(v.alias("v"), F.lit(n).alias("n")))
+    each = rows.select(*keys, F.explode_outer(F.concat(signed(here, 1), signed(there, -1))).alias("x"))
+    n = each.groupBy(*keys, F.col("x.v").alias("v")).agg(F.sum("x.n").alias("n"))
+    more = lambda s: F.array_sort(F.flatten(F.collect_list(F.when(F.col("v").isNotNull() & (s * F.col("n") > 0), F.array_repeat("v", (s * F.col("n")).cast("int"))))))
+    return n.groupBy(*keys).agg(more(F.lit(1)).alias("plus"), more(F.lit(-1)).alias("minus"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-MODULES = ("search_queries", "table_queries", "more_queries", "text_queries", "state_queries", "measure_queries")
+MODULES = ("search_queries", "table_queries", "more_queries", "text_queries", "state_queries", "measure_queries", "split_queries")
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 

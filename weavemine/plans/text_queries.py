@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from weavemine.functions import origins as O
 from weavemine.functions import text as T
+from weavemine.operators import versions as V
 from weavemine.plans.registry import query
 from weavemine.session import table
 
@@ -115,12 +116,13 @@ def project_labels(spark, d):
 
 @query(
     "list_changes",
-    """WITH w AS (SELECT conv_id, turn, role, string_split(lower(coalesce(text, '')), ' ')[1:8] AS ws FROM conversations), p AS (SELECT a.conv_id, a.turn, a.ws AS x, b.ws AS y FROM w a JOIN w b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1),
+    """WITH w AS (SELECT conv_id, turn, role, string_split(lower(coalesce(text, '')), ' ') AS ws FROM conversations), p AS (SELECT a.conv_id, a.turn, a.ws AS x, b.ws AS y FROM w a JOIN w b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1),
 c AS (SELECT conv_id, turn, list_sort(list_distinct(x)) AS dx, list_sort(list_distinct(y)) AS dy, x, y FROM p)
 SELECT conv_id, turn, array_to_string(flatten(list_transform(dx, lambda v: list_transform(range(0, greatest(len(list_filter(x, lambda u: u = v)) - len(list_filter(y, lambda u: u = v)), 0)), lambda k: v))), ',') AS plus,
   array_to_string(flatten(list_transform(dy, lambda v: list_transform(range(0, greatest(len(list_filter(y, lambda u: u = v)) - len(list_filter(x, lambda u: u = v)), 0)), lambda k: v))), ',') AS minus FROM c""",
 )
 def list_changes(spark, d):
-    w = table(spark, d, "conversations").select("conv_id", "turn", F.slice(F.split(F.lower(F.coalesce("text", F.lit(""))), " "), 1, 8).alias("x"))
-    p = w.join(w.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("x").alias("y")), ["conv_id", "turn"]).withColumn("c", T.added_removed(F.col("x"), F.col("y")))
-    return p.select("conv_id", "turn", F.array_join("c.plus", ",").alias("plus"), F.array_join("c.minus", ",").alias("minus"))
+    w = table(spark, d, "conversations").select("conv_id", "turn", F.split(F.lower(F.coalesce("text", F.lit(""))), " ").alias("x"))
+    p = w.join(w.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("x").alias("y")), ["conv_id", "turn"])
+    c = V.list_differences(p, ["conv_id", "turn"], "x", "y")
+    return c.select("conv_id", "turn", F.array_join("plus", ",").alias("plus"), F.array_join("minus", ",").alias("minus"))

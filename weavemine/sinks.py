@@ -86,23 +86,33 @@ def sheet(df: DataFrame, columns: Sequence[str], order: Sequence[str], cut: int,
     return r.where(F.col("_row") <= most).select("_row", *shown).withColumnRenamed("_row", "row")
 
 
+def _markers(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the published versions, oldest first: a number and the version."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(f"{folder}/published")
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.listStatus(at)) if fs.exists(at) else []
+
+
 def publish(spark: SparkSession, folder: str, tables: Mapping[str, DataFrame]) -> str:
-    """Write all tables under a new version, then name it: readers see all of them or none. Returns the version."""
+    """Write all tables under a new version, then name it: readers see all of them or none. Returns the version.
+
+    A version is named by one empty file whose name says all, so there is no
+    moment without a version once there is one; the greatest name is the current
+    one, and of two that are named at once either may be.
+    """
     version = uuid.uuid4().hex
     for name, df in tables.items():
         df.write.parquet(f"{folder}/versions/{version}/{name}")
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    temporary, current = (jvm.org.apache.hadoop.fs.Path(f"{folder}/{n}") for n in (f"CURRENT-{version}", "CURRENT"))
-    fs = current.getFileSystem(conf)
-    out = fs.create(temporary, True)
-    out.write(bytearray(version.encode()))
-    out.close()
-    fs.delete(current, False)
-    if not fs.rename(temporary, current):
-        raise RuntimeError(f"{folder}: the new version could not be named")
+    before = _markers(spark, folder)
+    number = int(before[-1].split("-")[0]) + 1 if before else 0
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/published/{number:012d}-{version}")
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, False).close()
     return version
 
 
 def published(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    version = spark.read.text(f"{folder}/CURRENT").first()[0]
-    return spark.read.parquet(f"{folder}/versions/{version}/{name}")
+    markers = _markers(spark, folder)
+    if not markers:
+        raise FileNotFoundError(f"{folder}: nothing is published")
+    return spark.read.parquet(f"{folder}/versions/{markers[-1].split('-')[1]}/{name}")
