@@ -106,8 +106,28 @@ def majority(votes: DataFrame, voter: str, choice: str) -> DataFrame:
     return n.withColumn("_r", F.row_number().over(order)).where("_r = 1").drop("_r")
 
 
-#: Fixed values of the lineage rules (shares and counts).
-COPY, COPY_MIN, OWN, OWN_MIN, AFTER, SAME, BRANCH, KEPT, PARSED, LATEST = 0.001, 2, 0.03, 20, 0.6, 0.15, 0.6, 0.5, 0.3, 0.95
+#: A side is hardly changed with so many ids of its own, or so large a share; it has work of its own with at
+#: least so many and so large a share.
+UNCHANGED, WORKED = (2, 0.001), (20, 0.03)
+#: Shares of a side's own ids that make it new (later than nearly all shared ones), by the other's makers (of a
+#: branch, of a later version) or by makers that can be told at all; how alike a version is; and which shared day is late.
+NEW, BRANCHED, CONTINUED, TOLD, ALIKE, LATE = 0.6, 0.6, 0.15, 0.3, 0.5, 0.95
+
+
+class _Side:
+    """What can be said of one model of a pair, by its columns' suffix."""
+
+    def __init__(self, k: str):
+        own, ids = F.col(f"own_{k}"), F.col(f"ids_{k}")
+        self.k = k
+        self.unchanged = own <= F.greatest(F.lit(UNCHANGED[0]), UNCHANGED[1] * ids)
+        self.worked = (own >= WORKED[0]) & (own >= WORKED[1] * ids)
+        self.new = F.col(f"after_{k}") >= NEW
+        self.told = F.col(f"parsed_{k}") >= TOLD
+
+    def shares(self, least: float) -> Column:
+        """Whether the other side's makers made so much of it."""
+        return F.col(f"same_{self.k}") >= least
 
 
 def lineage(marks: DataFrame, saved: DataFrame, cover: float = 0.2, least: int = 20) -> DataFrame:
@@ -127,7 +147,7 @@ def lineage(marks: DataFrame, saved: DataFrame, cover: float = 0.2, least: int =
     ends = ends.select("older", "newer", "x.*")
     held = ends.join(marks, "model").join(marks.select(F.col("model").alias("other"), "id", F.lit(True).alias("both")), ["other", "id"], "left")
     days = held.where("both AND side = 0 AND day IS NOT NULL").withColumn("r", F.row_number().over(Window.partitionBy("older", "newer").orderBy("day"))).withColumn("n", F.count("*").over(Window.partitionBy("older", "newer")))
-    latest = days.where(F.col("r") == F.least("n", F.floor(F.lit(LATEST) * F.col("n")) + 1)).select("older", "newer", F.col("day").alias("latest"))
+    latest = days.where(F.col("r") == F.least("n", F.floor(F.lit(LATE) * F.col("n")) + 1)).select("older", "newer", F.col("day").alias("latest"))
     makers = marks.where("maker IS NOT NULL").select(F.col("model").alias("other"), "maker", F.lit(True).alias("known")).distinct()
     own = held.where("both IS NULL").join(makers, ["other", "maker"], "left").join(latest, ["older", "newer"], "left")
     rate = lambda c, k, none: F.coalesce(F.round(F.avg(F.when(F.col("side") == k, c.cast("int"))), 3), F.lit(none))
@@ -142,17 +162,18 @@ def lineage(marks: DataFrame, saved: DataFrame, cover: float = 0.2, least: int =
     out = pairs.join(own.groupBy("older", "newer").agg(*aggs), ["older", "newer"], "left").fillna(0, ["own_a", "own_b"]).fillna(1.0, ["parsed_a", "parsed_b"]).fillna(0.0, ["same_a", "same_b", "after_a", "after_b"])
     sizes = marks.groupBy("model").agg(F.count("*").alias("ids"))
     out = out.join(sizes.toDF("older", "ids_a"), "older").join(sizes.toDF("newer", "ids_b"), "newer")
-    c = F.col
-    few = lambda k: c(f"own_{k}") <= F.greatest(F.lit(COPY_MIN), COPY * c(f"ids_{k}"))
-    much = lambda k: (c(f"own_{k}") >= OWN_MIN) & (c(f"own_{k}") >= OWN * c(f"ids_{k}"))
-    rivals = much("a") & much("b") & (c("after_a") >= AFTER) & (c("after_b") >= AFTER)
-    kind = (
-        F.when(few("a") & few("b"), "copy")
-        .when(few("b") & (c("jaccard") >= KEPT), "version")
-        .when(c("parsed_b") < PARSED, "unknown")
-        .when(rivals & (c("parsed_a") < PARSED), "unknown")
-        .when(rivals, F.when((c("same_a") >= BRANCH) & (c("same_b") >= BRANCH), "branches").otherwise("root"))
-        .when((c("after_b") >= AFTER) & (c("after_a") < AFTER), F.when(c("same_b") >= SAME, "version").otherwise("derived"))
-        .otherwise("related")
-    )
+    older, newer = (_Side(k) for k in "ab")
+    apart = older.worked & newer.worked & older.new & newer.new
+    #: In order; the first that holds decides.
+    rules = [
+        ("copy", older.unchanged & newer.unchanged),
+        ("version", newer.unchanged & (F.col("jaccard") >= ALIKE)),
+        ("unknown", ~newer.told),
+        ("unknown", apart & ~older.told),
+        ("branches", apart & older.shares(BRANCHED) & newer.shares(BRANCHED)),
+        ("root", apart),
+        ("version", newer.new & ~older.new & newer.shares(CONTINUED)),
+        ("derived", newer.new & ~older.new),
+    ]
+    kind = F.coalesce(*(F.when(holds, F.lit(name)) for name, holds in rules), F.lit("related"))
     return out.withColumn("kind", kind)

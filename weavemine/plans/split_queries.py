@@ -8,6 +8,7 @@ from weavemine.functions import prose as P
 from weavemine.functions import text as T
 from weavemine.operators import communities as C
 from weavemine.operators import kmeans as K
+from weavemine.operators.boxes import enclosing
 from weavemine.operators.cuts import median_cuts
 from weavemine.plans.registry import query
 from weavemine.session import materialize, table
@@ -99,3 +100,15 @@ def row_packing(spark, d):
     rows = F.split(F.coalesce("text", F.lit("")), "\n")
     docs = table(spark, d, "documents").select("doc_id", P.row_parts(rows, F.lit("Rows"), 300, 4).alias("parts"))
     return docs.select("doc_id", F.posexplode("parts").alias("row", "part"))
+
+
+BOXES = "SELECT p_brand, p_partkey, p_size::DOUBLE AS x, p_retailprice::DOUBLE / 25 AS y, length(p_name)::DOUBLE AS w, length(p_type)::DOUBLE * 2 AS h FROM part"
+
+
+@query("enclosing_parts", f"""WITH b AS ({BOXES}),
+f AS (SELECT b.p_brand, b.p_partkey, o.p_partkey AS k, o.w * o.h AS area FROM b JOIN b o ON o.p_brand = b.p_brand AND o.x <= b.x AND o.y <= b.y AND o.x + o.w >= b.x + b.w AND o.y + o.h >= b.y + b.h AND o.w * o.h > b.w * b.h),
+p AS (SELECT p_brand, p_partkey, arg_min(k, (area, k)) AS parent, count(*) AS depth FROM f GROUP BY ALL)
+SELECT b.p_brand, b.p_partkey, parent, coalesce(depth, 0) AS depth FROM b LEFT JOIN p USING (p_brand, p_partkey)""")
+def enclosing_parts(spark, d):
+    p = table(spark, d, "part").select("p_brand", "p_partkey", F.col("p_size").cast("double").alias("x"), (F.col("p_retailprice").cast("double") / 25).alias("y"), F.char_length("p_name").alias("w"), (2 * F.char_length("p_type")).alias("h"))
+    return enclosing(p, ["p_brand"], "p_partkey")
