@@ -1,8 +1,12 @@
 import hashlib
+import itertools
 import random
 import re
 from collections import Counter
 
+import numpy as np
+import pytest
+
 from weavemine.llm import pii as P
 
 
@@ -97,6 +101,58 @@ def test_mentions_are_scored_without_a_base_span():
     assert P.find_spans("no data here", P.trained()) == ([], [])
 
 
+def settled(field, nodes, score):
+    """Marginals of a path by passing once along it and back."""
+    chain, skip = P.edges_of(nodes)
+    assert all(j == i + 1 for i, j in chain + skip)
+    pots = [np.zeros((5, 5)) for _ in nodes[1:]]
+    for edges, pot in ((chain, field.chain), (skip, field.skip)):
+        for i, _ in edges:
+            pots[i] = pots[i] + pot
+    log = lambda m: np.log(np.exp(m - m.max(axis=0)).sum(axis=0)) + m.max(axis=0)
+    ahead, behind = [np.zeros(5)], [np.zeros(5)]
+    for i, pot in enumerate(pots):
+        ahead.append(log((score[i] + ahead[-1])[:, None] + pot))
+    for i, pot in reversed([*enumerate(pots)]):
+        behind.append(log((score[i + 1] + behind[-1])[:, None] + pot.T))
+    return P._softmax(score + np.array(ahead) + np.array(behind[::-1]))
+
+
+@pytest.mark.parametrize("repeats", [3, 40, 400])
+def test_messages_settle_on_long_runs_of_mentions(repeats):
+    rnd = random.Random(repeats)
+    field = P.trained()
+    forms = ["555-3729-11", "(555)372911", "555 3729 11", "55537.2911"]
+    text = (" " + "x" * 250 + " ").join(rnd.choice(forms) for _ in range(repeats))  # too far apart for transitions
+    nodes = P.nodes_of(text, P.base_spans(text))
+    assert len(nodes) == repeats
+    score = np.array([field.w[P.unary(n)].sum(axis=0) for n in nodes])
+    want = settled(field, nodes, score)
+    assert np.abs(field.marginals(nodes) - want).max() < 1e-5
+    chain, skip = P.edges_of(nodes)
+    assert np.abs(field._on_forest(score, [(i, j, 0) for i, j in chain] + [(i, j, 1) for i, j in skip]) - want).max() < 1e-9
+
+
+def test_messages_on_loops_settle_near_the_true_marginals():
+    field = P.trained()
+    text = "call +1 (555) 372-9118 or 555-372-9118, 5553729118 or 372-9118; mail a.b@c.de, a.b and a.b(at)x"
+    nodes = P.nodes_of(text, P.base_spans(text))
+    chain, skip = P.edges_of(nodes)
+    assert 3 <= len(nodes) <= 8 and len(chain) + len(skip) >= len(nodes)
+    score = np.array([field.w[P.unary(n)].sum(axis=0) for n in nodes])
+    for i, n in enumerate(nodes):
+        if n.kind:
+            score[i] = -50.0
+            score[i, P.LABELS.index(n.kind)] = 0.0
+    total = np.zeros((len(nodes), 5))
+    for labels in itertools.product(range(5), repeat=len(nodes)):
+        x = sum(score[i, v] for i, v in enumerate(labels)) + sum(field.chain[labels[i], labels[j]] for i, j in chain) + sum(field.skip[labels[i], labels[j]] for i, j in skip)
+        total[range(len(nodes)), labels] += np.exp(x)
+    want = total / total.sum(axis=1, keepdims=True)
+    got = field.marginals(nodes)
+    assert (got.argmax(axis=1) == want.argmax(axis=1)).all() and np.abs(got - want).max() < 0.15
+
+
 def test_held_out_accuracy():
     rnd, hit = random.Random(99), Counter()
     for _ in range(200):

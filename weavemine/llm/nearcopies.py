@@ -291,15 +291,19 @@ def near_copies(docs: DataFrame) -> DataFrame:
     open_ = named.join(split, "s", "left_semi").join(nodes.select("node", *_PARITY), "node")
     open_ = materialize(open_, "near-open")
     names = ["node", "s", "pos", "size", "c", *_PARITY]
-    left = open_.select("s", *[F.col(c).alias(f"{c}a") for c in names if c != "s"])
+    # Pairs of two components have a member outside the posting's largest one, so only such members are paired with all.
+    largest = open_.groupBy("s", "c").agg(F.count("*").alias("k")).groupBy("s").agg(F.max_by("c", F.struct("k", "c")).alias("most"))
+    largest = materialize(largest, "near-largest")
+    left = open_.join(largest, "s").where("c <> most").select("s", "most", *[F.col(c).alias(f"{c}a") for c in names if c != "s"])
     right = open_.select("s", *[F.col(c).alias(f"{c}b") for c in names if c != "s"])
-    rest = left.join(right, "s").where((F.col("nodea") < F.col("nodeb")) & (F.col("ca") != F.col("cb")) & _may("a", "b") & _few_odd("a", "b"))
+    once = (F.col("cb") == F.col("most")) | (F.col("nodea") < F.col("nodeb"))
+    rest = left.join(right, "s").where(once & (F.col("ca") != F.col("cb")) & _may("a", "b") & _few_odd("a", "b"))
     more = _verified(docs, rest.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")), nodes)
     roots = materialize(connected_components(near.unionByName(more)), "near-components")
     rooted = nodes.join(roots, "node", "left").select(F.coalesce("component", "node").alias("root"), "least")
     stay = rooted.groupBy("root").agg(F.min("least").alias("x")).select("x.key.none", "x.key.id", "x.key.h", "x.n")
     stay = materialize(stay, "near-stay")
-    release(nodes, shared, near, found, named, open_, more, roots)
+    release(nodes, shared, near, found, named, open_, largest, more, roots)
     return stay
 
 
