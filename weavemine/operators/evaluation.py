@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Iterator
 
@@ -29,6 +30,22 @@ def graded_metrics(ranked: DataFrame) -> DataFrame:
     )
 
 
+def head_metrics(head: DataFrame, grades: DataFrame) -> DataFrame:
+    """The same as ``graded_metrics`` from the ten best of each question (qid, doc, rank, grade) and its counts (qid, grade, n) of all that it ranks."""
+    gain = F.pow(F.lit(2.0), F.col("grade")) - 1
+    discounts = [0.0]
+    for k in range(1, 11):
+        discounts.append(discounts[-1] + 1 / math.log2(k + 1))
+    upto = lambda n: F.element_at(F.array(*map(F.lit, discounts)), (F.least(n, F.lit(10)) + 1).cast("int"))
+    down = Window.partitionBy("qid").orderBy(F.col("grade").desc())  # a row a grade
+    g = grades.withColumn("upto", F.sum("n").over(down))
+    ideal = g.groupBy("qid").agg(F.sum(gain * (upto(F.col("upto")) - upto(F.col("upto") - F.col("n")))).alias("best"))
+    m = head.where("rank <= 10").groupBy("qid").agg(F.min(F.when(F.col("grade") == 2, F.col("rank"))).alias("first"), F.sum(gain / F.log2(F.col("rank") + 1)).alias("dcg"))
+    first = F.coalesce("first", F.lit(1 << 30))
+    ndcg = F.when(F.col("best") > 0, F.col("dcg") / F.col("best")).otherwise(0.0)
+    return m.join(ideal, "qid").select("qid", *[(first <= k).cast("int").alias(f"hit_{k}") for k in (1, 5, 10)], F.round(F.when(first <= 10, 1.0 / first).otherwise(0.0), 6).alias("mrr_10"), F.round(ndcg, 6).alias("ndcg_10"))
+
+
 def kappa(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """(n, agreement, kappa) of two raters; 1 when chance agreement is 1, 0 without pairs."""
     joint = pairs.groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count("*").alias("n"))

@@ -6,13 +6,51 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weavemine.functions.text import search_words
+from weavemine.session import materialize, release
 
 K1, B = 1.2, 0.75
 RRF_K, RRF_DEPTH = 60, 100
 
 
+class TextIndex:
+    """Postings of one text field, built once and searched by every query: (word, doc, tf, part), sorted by word, and (word, df).
+
+    ``part`` is what a posting adds to a score: all that goes into it is known
+    when the index is built, so a search is a join on the query's words and a sum.
+    """
+
+    def __init__(self, postings: DataFrame, words: DataFrame):
+        self.postings, self.words = postings, words
+
+    @classmethod
+    def build(cls, docs: DataFrame, text: Column | None = None, k1: float = K1, b: float = B) -> TextIndex:
+        """Index of (doc, text); the average length includes empty documents."""
+        tokens = docs.select("doc", search_words(F.col("text") if text is None else text).alias("tokens")).withColumn("len", F.size("tokens"))
+        tokens = materialize(tokens, "tokens")
+        totals = tokens.agg(F.count("*").alias("n"), F.avg("len").alias("avg_len")).first()
+        posted = tokens.select("doc", "len", F.explode("tokens").alias("word")).groupBy("word", "doc", "len").agg(F.count("*").alias("tf"))
+        posted = materialize(posted, "posted")
+        words = materialize(posted.groupBy("word").agg(F.count("*").alias("df")), "words")
+        n, avg = F.lit(totals.n), F.lit(totals.avg_len or 1.0)
+        idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
+        part = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("len") / avg))
+        laid = posted.join(words, "word").select("word", "doc", "tf", part.alias("part"))
+        out = materialize(laid.repartitionByRange("word", "doc").sortWithinPartitions("word", "doc"), "postings")
+        release(tokens, posted)
+        return cls(out, words)
+
+    def scored(self, queries: DataFrame) -> DataFrame:
+        """(qid, doc, score, matched) of every document with a word of (qid, word); a query's words count once."""
+        asked = queries.select("qid", "word").distinct()
+        return self.postings.join(asked, "word").groupBy("qid", "doc").agg(F.sum("part").alias("score"), F.count("*").alias("matched"))
+
+    def beginning(self, prefix: str, most: int = 200) -> DataFrame:
+        """(word): the vocabulary's first ``most`` words that begin so, in order; the limit is the feature."""
+        return self.words.where(F.col("word").startswith(prefix)).select("word").orderBy("word").limit(most)
+
+
 def bm25(docs: DataFrame, queries: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
-    """(qid, doc, score, matched) of every document with a query word.
+    """(qid, doc, score, matched) of every document with a query word, without an index: for texts that are searched once.
 
     ``docs`` has (doc, text), ``queries`` (qid, word). Query words count once;
     the average length includes empty documents. Postings are cut to the query's

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from weavemine.functions.text import flatten_for_phrases, search_words, strip_tags, text_digest
 from weavemine.operators import search as S
 from weavemine.plans.registry import query
-from weavemine.session import table
+from weavemine.session import materialize, stored, table
 
 W = "[a-z0-9]+(?:[-.][a-z0-9]+)*"
 TOKENS = f"regexp_extract_all(lower(coalesce(text, '')), '{W}')"
@@ -25,9 +25,15 @@ RANKED = "ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY scor
 OVERLAP = "overlap AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY matched DESC, doc) AS rank FROM scored)"
 
 
+def document_index(spark, d) -> S.TextIndex:
+    """The documents' index: written by the first search over them, read by all others."""
+    docs = table(spark, d, "documents")
+    return stored(docs, "text-index", lambda: S.TextIndex.build(docs.select(F.col("doc_id").alias("doc"), "text")))
+
+
 def scored_documents(spark, d) -> DataFrame:
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("doc"), "text")
-    return S.bm25(docs, S.different_words(table(spark, d, "benchmark"), "item_id", "text")).withColumn("score", F.round("score", 6))
+    scored = document_index(spark, d).scored(S.different_words(table(spark, d, "benchmark"), "item_id", "text"))
+    return scored.withColumn("score", F.round("score", 6))
 
 
 @query("bm25_topk", f"WITH {BM25_SQL}, {RANKED} SELECT qid, doc, score, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 10")
@@ -110,10 +116,9 @@ v AS (SELECT DISTINCT word FROM t WHERE starts_with(word, 'then') ORDER BY word
 SELECT doc_id, count(DISTINCT word) AS words, count(*) AS hits FROM t WHERE word IN (SELECT word FROM v) GROUP BY doc_id""",
 )
 def prefix_search(spark, d):
-    docs = table(spark, d, "documents")
-    words = S.prefix_words(docs, "then")
-    posted = docs.select("doc_id", F.explode(search_words(F.col("text"))).alias("word"))
-    return posted.join(words, "word", "left_semi").groupBy("doc_id").agg(F.countDistinct("word").alias("words"), F.count("*").alias("hits"))
+    index = document_index(spark, d)
+    hits = index.postings.join(index.beginning("then"), "word", "left_semi")
+    return hits.groupBy(F.col("doc").alias("doc_id")).agg(F.count("*").alias("words"), F.sum("tf").alias("hits"))
 
 
 FLAT = r"trim(regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(text, '<sub>trace: `[^`]*`</sub>', '', 'g'), '\[((?:[^\[\]\\]|\\.)*)\]\([^)]*\)', '\1', 'g')), '[`*\\]', '', 'g'), '[\s\x0B]+', ' ', 'g'))"
@@ -122,16 +127,20 @@ FLAT = r"trim(regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(
 @query("phrase_search", f"SELECT b.item_id, f.doc_id FROM (SELECT doc_id, {FLAT} AS flat FROM documents) f JOIN (SELECT item_id, {FLAT} AS flat FROM benchmark) b ON contains(f.flat, b.flat)")
 def phrase_search(spark, d):
     flat = flatten_for_phrases(F.col("text")).alias("flat")
-    docs = table(spark, d, "documents").select("doc_id", flat).withColumn("words", F.array_distinct(search_words(F.col("flat"))))
+    docs = table(spark, d, "documents")
+    texts = stored(docs, "flat-texts", lambda: materialize(docs.select("doc_id", flat), "flat"))
+    posted = stored(docs, "flat-words", lambda: materialize(texts.select(F.explode(F.array_distinct(search_words(F.col("flat")))).alias("word"), "doc_id").repartitionByRange("word", "doc_id").sortWithinPartitions("word"), "flat-words"))
     items = table(spark, d, "benchmark").select("item_id", flat.alias("phrase")).withColumn("asked", search_words(F.col("phrase")))
-    # a phrase can only be where its longest inner word is: an equi-join finds the candidates
+    # a phrase can only be where its longest inner word is: an equi-join finds the candidates, whose texts are then read
     inner = F.when(F.size("asked") > 2, F.slice("asked", F.lit(2), F.greatest(F.size("asked") - 2, F.lit(0)))).otherwise(F.array().cast("array<string>"))
     longest = F.array_max(F.transform(inner, lambda w: F.struct(F.char_length(w).alias("n"), w.alias("w"))))["w"]
     items = items.select("item_id", "phrase", longest.alias("word"))
-    posted = docs.select("doc_id", "flat", F.explode("words").alias("word"))
-    keyed = posted.join(items.where("word IS NOT NULL"), "word")
-    short = docs.join(items.where("word IS NULL").drop("word"), F.col("flat").contains(F.col("phrase"))).select("item_id", "doc_id")
-    return keyed.where(F.col("flat").contains(F.col("phrase"))).select("item_id", "doc_id").unionByName(short)
+    keyed = posted.join(items.where("word IS NOT NULL"), "word").select("item_id", "phrase", "doc_id").join(texts, "doc_id")
+    found = keyed.where(F.col("flat").contains(F.col("phrase"))).select("item_id", "doc_id")
+    short = items.where("word IS NULL AND phrase IS NOT NULL").drop("word")
+    if short.isEmpty():
+        return found
+    return found.unionByName(texts.join(short, F.col("flat").contains(F.col("phrase"))).select("item_id", "doc_id"))  # phrases of a word or two can lie anywhere
 
 
 @query(
@@ -154,8 +163,8 @@ SELECT m.qid, CAST(coalesce(first, 99) <= 1 AS INTEGER) AS hit_1, CAST(coalesce(
   round(CASE WHEN first <= 10 THEN 1.0::DOUBLE / first ELSE 0 END, 6) AS mrr_10, round(CASE WHEN best > 0 THEN dcg / best ELSE 0 END, 6) AS ndcg_10 FROM m JOIN ideal USING (qid)""",
 )
 def ranking_metrics(spark, d):
-    from weavemine.operators.evaluation import graded_metrics
+    from weavemine.operators.evaluation import head_metrics
 
     labels = table(spark, d, "labels").select(F.col("doc_id").alias("doc"), (2 * F.col("quality")).alias("grade"))
-    ranked = S.top_k(scored_documents(spark, d), 1 << 30).join(labels, "doc", "left").withColumn("grade", F.coalesce("grade", F.lit(0)))
-    return graded_metrics(ranked)
+    graded = scored_documents(spark, d).join(labels, "doc", "left").withColumn("grade", F.coalesce("grade", F.lit(0)))
+    return head_metrics(S.top_k(graded, 10), graded.groupBy("qid", "grade").agg(F.count("*").alias("n")))

@@ -12,13 +12,17 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
 #: While a table is written: shuffle files go once it is there, and batches for Python are of a size that whole texts fit.
 _WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "512"}
 _OWN_DIR: list[str] = []
 _WRITTEN: list[str] = []
+_STORED: dict[tuple, object] = {}
 
 
 def build_session(app: str = "weavemine", master: str | None = None, **conf: str) -> SparkSession:
@@ -94,7 +98,19 @@ def release(*dfs: DataFrame) -> None:
             drop_path(df.sparkSession, path)
 
 
+def stored(source: DataFrame, kind: str, build: Callable[[], T]) -> T:
+    """What ``build`` makes of a table of files, made once for these files and this application, and then read by all.
+
+    Files are taken not to change under their names, as written Parquet files do not. ``clear_scratch`` forgets it.
+    """
+    key = (source.sparkSession.sparkContext.applicationId, kind, *sorted(source.inputFiles()))
+    if key not in _STORED:
+        _STORED[key] = build()
+    return _STORED[key]
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete every intermediate table of this process; call it once results that read them are written."""
+    _STORED.clear()
     while _WRITTEN:
         drop_path(spark, _WRITTEN.pop())
