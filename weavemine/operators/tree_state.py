@@ -44,13 +44,13 @@ def project_status(contents: DataFrame, projects: DataFrame, removed: DataFrame,
 
 def written(projects: DataFrame, contents: DataFrame) -> DataFrame:
     c = contents.select(F.col("sha256").alias("content_sha256"), "name", "kind", "size")
-    return projects.where("status = 'written'").join(c, "content_sha256").orderBy("name", "content_sha256")
+    return projects.where("status = 'written'").join(c, "content_sha256")
 
 
 def catalog(status: DataFrame, fingerprints: DataFrame) -> DataFrame:
     """Every content with its status and its fingerprint, without the ids."""
     f = fingerprints.select(F.col("content_sha256").alias("sha256"), "saved", "saved_raw", "saved_from", "project_id", "exporter", "elements")
-    return status.join(f, "sha256", "left").orderBy("name", "sha256")
+    return status.join(f, "sha256", "left")
 
 
 # --- questions ----------------------------------------------------------------------------------
@@ -81,14 +81,14 @@ def stale_contents(contents: DataFrame, projects: DataFrame, removed: DataFrame,
         open_ = gaps.where(F.col("options_hash") == options).select(F.col("content_sha256").alias("sha256"))
         done = done.join(open_, "sha256", "left_anti")
     left = contents.select("sha256", "name").join(done, "sha256", "left_anti")
-    return left.join(removed.select(F.col("content_sha256").alias("sha256")), "sha256", "left_anti").orderBy("name", "sha256")
+    return left.join(removed.select(F.col("content_sha256").alias("sha256")), "sha256", "left_anti")
 
 
 def gap_rows(gaps: DataFrame, projects: DataFrame, contents: DataFrame) -> DataFrame:
     """Written projects with gaps under the options they were made with."""
     p = projects.where("status = 'written'").select("content_sha256", "options_hash")
     c = contents.select(F.col("sha256").alias("content_sha256"), "name")
-    return gaps.join(p, ["content_sha256", "options_hash"]).join(c, "content_sha256").orderBy("name", "content_sha256")
+    return gaps.join(p, ["content_sha256", "options_hash"]).join(c, "content_sha256")
 
 
 def with_gaps(gaps: DataFrame, projects: DataFrame, options: str) -> DataFrame:
@@ -99,12 +99,12 @@ def with_gaps(gaps: DataFrame, projects: DataFrame, options: str) -> DataFrame:
 def orphans(contents: DataFrame, current: DataFrame) -> DataFrame:
     """Contents that no input which is still there holds."""
     there = current.where("input_status <> 'missing'").select(F.col("content_sha256").alias("sha256"))
-    return contents.select("sha256", "name").join(there, "sha256", "left_anti").orderBy("name", "sha256")
+    return contents.select("sha256", "name").join(there, "sha256", "left_anti")
 
 
 def unfingerprinted(contents: DataFrame, fingerprints: DataFrame, marks: DataFrame) -> DataFrame:
     both = fingerprints.select(F.col("content_sha256").alias("sha256")).join(marks.select(F.col("content_sha256").alias("sha256")), "sha256", "left_semi")
-    return contents.select("sha256", "name").join(both, "sha256", "left_anti").orderBy("name", "sha256")
+    return contents.select("sha256", "name").join(both, "sha256", "left_anti")
 
 
 def work_list(stale: DataFrame, current: DataFrame) -> DataFrame:
@@ -136,9 +136,11 @@ def _put(table: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def _add(table: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """``table`` with those ``rows`` whose key it does not have, one a key."""
-    new = rows.dropDuplicates(list(key)).join(table.select(*key), list(key), "left_anti")
-    return table.unionByName(new.select(table.columns))
+    """``table`` with those ``rows`` whose key it does not have, one a key: of several the least in the order of the table's columns."""
+    rest = [c for c in table.columns if c not in key]
+    new = rows.join(table.select(*key), list(key), "left_anti")
+    one = new.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_r")).select(*key, "_r.*") if rest else new.select(*key).distinct()
+    return table.unionByName(one.select(table.columns))
 
 
 def checked_inputs(inputs: DataFrame, listing: DataFrame) -> DataFrame:

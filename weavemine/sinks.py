@@ -111,6 +111,10 @@ def publish(spark: SparkSession, folder: str, tables: Mapping[str, DataFrame]) -
     return version
 
 
+def is_published(spark: SparkSession, folder: str) -> bool:
+    return bool(_markers(spark, folder))
+
+
 def published(spark: SparkSession, folder: str, name: str) -> DataFrame:
     markers = _markers(spark, folder)
     if not markers:
