@@ -2,7 +2,15 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next one's ``docs``. All but the last return
-the columns of ``documents``.
+the columns of ``documents``; further columns, whatever their names, are carried
+along by all but the last.
+
+Defined results: a null text is an empty one and stays null until it is encoded
+to no tokens; empty texts are near copies of each other, so one of them stays,
+and the mix, which counts words, takes no text without any. Null ids come after
+all others where one of several is kept; rows that repeat each other are near
+copies. Ties are settled by the least id, then by a hash of the text. Texts of
+any length are read whole. An empty table gives no rows.
 """
 
 from __future__ import annotations
