@@ -56,3 +56,36 @@ def test_ledger_and_threads(spark):
     assert t == [("x", "r1", 0, 0, "r1", "- Flow (R-10)"), ("x", "r1", 1, 1, "r2", "- REQ-2-A: shall run; satisfied by Pump; verified by Pump")]
     kinds = {r.id: r.t for r in elements.select("id", S.catalog_type(elements["type"], elements["id"] == "d", elements["id"] == "r1").alias("t")).collect()}
     assert (kinds["d"], kinds["p"], kinds["r1"], kinds["b"], kinds["f"]) == ("diagram", "package", "requirement", "element", None)
+
+
+def test_events_guards_and_what_describes(spark):
+    from weavemine.operators import events as E
+
+    e = [
+        ("t", "Transition", "transition", None, "m", {}), ("t1", "Trigger", "trigger", None, "t", {}), ("t2", "Trigger", "trigger", "by hand", "t", {}), ("t3", "Trigger", "trigger", None, "t", {}),
+        ("g", "Constraint", "guard", None, "t", {}), ("g1", "LiteralString", "specification", None, "g", {"value": "x > 1"}), ("ef", "OpaqueBehavior", "effect", None, "t", {"body": "stop()"}),
+        ("e1", "SignalEvent", "packagedElement", None, "m", {}), ("e2", "TimeEvent", "packagedElement", None, "m", {"isRelative": "true"}), ("w", "TimeExpression", "when", None, "e2", {}), ("w1", "LiteralInteger", "expr", None, "w", {"value": "5"}),
+        ("e3", "ChangeEvent", "packagedElement", None, "m", {}), ("c", "LiteralString", "changeExpression", None, "e3", {"value": "hot"}), ("e4", "AnyReceiveEvent", "packagedElement", None, "m", {}), ("e5", "CallEvent", "packagedElement", "named", "m", {}),
+        ("s", "Signal", "packagedElement", "Alarm", "m", {}), ("cf", "ControlFlow", "edge", None, "m", {}), ("cg", "LiteralString", "guard", None, "cf", {"value": "else"}),
+        ("lane", "ActivityPartition", "group", None, "m", {}), ("part", "Property", "ownedAttribute", "valve", "m", {}), ("cls", "Class", "packagedElement", "Valve", "m", {}),
+        ("op", "OpaqueAction", "node", None, "m", {"body": "go " * 60}), ("acc", "AcceptEventAction", "node", None, "m", {}), ("a1", "Trigger", "trigger", None, "acc", {}), ("note", "Comment", "ownedComment", None, "m", {"body": " see below "}),
+        ("val", "ValueSpecificationAction", "node", None, "m", {}), ("v", "LiteralInteger", "value", None, "val", {"value": "7"}), ("inv", "StateInvariant", "fragment", None, "m", {}), ("ic", "Constraint", "invariant", None, "inv", {}), ("is", "LiteralString", "specification", None, "ic", {"value": "ok"}),
+        ("mute", "ForkNode", "node", None, "m", {}), ("line", "Lifeline", "lifeline", None, "m", {}),
+    ]
+    elements = spark.createDataFrame([("x", i, f"uml:{t}", r, n, o, k, a) for k, (i, t, r, n, o, a) in enumerate(e)], ELEMENT)
+    refs = [("t1", "event", "e1"), ("e1", "signal", "s"), ("t3", "event", "e4"), ("a1", "event", "e2"), ("lane", "represents", "part"), ("part", "type", "cls"), ("line", "represents", "Lib.mdzip#_7")]
+    refs = spark.createDataFrame([("x", s, r, t, k) for k, (s, r, t) in enumerate(refs)], "project string, src string, role string, target string, pos int")
+    none = spark.createDataFrame([], "project string, id string, name string, rid string, text string")
+    labels = S.labels(elements, refs, S.requirement_records(none))
+    values = S.value_texts(elements, refs, labels)
+    events = E.event_texts(elements, refs, labels, values).cache()
+    assert {r.id: r.event for r in events.collect()} == {"e1": "Alarm", "e2": "after 5", "e3": "when hot", "e4": None, "e5": "named"}
+    triggers = E.trigger_texts(elements, refs, events).cache()
+    assert {r.id: r.trigger for r in triggers.collect()} == {"t1": "Alarm", "t2": "by hand", "t3": None, "a1": "after 5"}
+    assert {r.id: r.flow for r in E.flow_labels(elements, values, triggers).collect()} == {"t": "Alarm, by hand [x > 1] / stop()", "cf": "[else]", "acc": "after 5"}
+    told = E.described(elements, refs, labels, values, triggers).cache()
+    got = {r.id: r.described for r in told.collect()}
+    assert (got["lane"], got["acc"], got["note"], got["val"], got["inv"], got["line"]) == ("valve : Valve", "after 5", '"see below"', "7", "ok", "_7")
+    assert got["op"].endswith("…") and len(got["op"]) <= 80 and "mute" not in got
+    full = {r.id: r.label for r in E.full_labels(elements, labels, told).collect()}
+    assert (full["lane"], full["mute"], full["cls"]) == ("valve : Valve", "(unnamed ForkNode)", "Valve")
