@@ -53,7 +53,7 @@ def grades(questions: DataFrame, windows: DataFrame, judged: DataFrame | None =
     q, w = question_rows(questions).where("problem IS NULL"), window_rows(windows)
     none = F.array().cast("array<string>")
     # source: the source chunks' windows, or the source element's where the corpus has none of these chunks
-    s = q.where("rule = 'source'").select(F.col("id").alias("question"), "quote", "source_element", F.explode("sources").alias("chunk"))
+    s = q.where("rule = 'source'").select(F.col("id").alias("question"), "quote", "source_element", F.explode(F.array_distinct("sources")).alias("chunk"))
     by_chunk = s.join(w, "chunk").select("question", "quote", F.col("id").alias("window"), "flat")
     lost = s.select("question", "quote", F.col("source_element").alias("element_id")).distinct().join(by_chunk.select("question").distinct(), "question", "left_anti")
     by_element = lost.join(w, "element_id").select("question", "quote", F.col("id").alias("window"), "flat")
@@ -61,7 +61,7 @@ def grades(questions: DataFrame, windows: DataFrame, judged: DataFrame | None =
     found = by_chunk.unionByName(by_element).select("question", "window", F.when(quoted, 2).otherwise(1).alias("grade"))
     # parts and facts: phrases
     p = q.where("rule IN ('parts', 'fact', 'element')").select(F.col("id").alias("question"), "rule", "answers", "related", "evidence", "by_element", "groups", "prefix")
-    j = w.select(F.col("id").alias("window"), F.coalesce("element_id", F.lit("")).alias("e"), "kind", "flat").join(F.broadcast(p), F.lit(True))  # the stated questions
+    j = w.select(F.col("id").alias("window"), F.coalesce("element_id", F.lit("")).alias("e"), "kind", "flat").join(p, F.lit(True))  # the stated questions, broadcast where they are small
     own = (F.coalesce("prefix", F.lit("")) != "") & F.col("e").startswith(F.col("prefix"))
     held = lambda c: F.coalesce(T.holds(c, F.col("flat")), F.lit(False))
     said = held(F.col("evidence"))
