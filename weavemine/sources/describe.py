@@ -23,6 +23,7 @@ from weavemine.sources.archives import Project, discover
 PROPERTIES = ("Records.properties", "Binaries.properties")
 METAMODEL = "com.nomagic.ci.metamodel.project"
 HEAD, CHUNK, FIRST_YEAR = 4096, 1 << 20, 1981
+#: How the head of a model names its tool, and that entry its project.
 TOOL = re.compile(rb"<xmi:exporter>([^<]*)</xmi:exporter>")
 VERSION = re.compile(rb"<xmi:exporterVersion>([^<]*)</xmi:exporterVersion>")
 PROJECT_ID = re.compile(rb'\bid="(PROJECT-[^"]+)"')
