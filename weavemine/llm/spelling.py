@@ -18,8 +18,9 @@ its own; forms lead to roots, which are found by pointer doubling.
 
 Defined results: null text holds no words, a null id is read as ''; a run cut to
 nothing is no word; repeated rows are counted each; equal counts go to the
-smallest word in code-point order; very long texts and words are read whole; an
-empty table gives no rows. Other columns are not read.
+smallest word in code-point order; very long texts and words are read whole (the
+search for split nodes takes a job for every ``DEPTHS`` letters of the longest
+prefix that more than ``leaf`` words share); an empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
