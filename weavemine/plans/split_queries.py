@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from weavemine.functions import prose as P
 from weavemine.functions import text as T
-from weavemine.operators import communities as C
 from weavemine.operators import kmeans as K
 from weavemine.operators.boxes import enclosing
 from weavemine.operators.cuts import median_cuts
@@ -14,40 +13,6 @@ from weavemine.plans.registry import query
 from weavemine.session import materialize, table
 
 
-def _lines_shared(spark, d):
-    """(src, dst, weight): documents and the lines that several of them hold, by how often."""
-    docs = table(spark, d, "documents").select(F.concat(F.lit("doc "), "doc_id").alias("src"), F.explode(F.split("text", "\n")).alias("line"))
-    each = docs.where(F.trim("line") != "").groupBy("src", F.concat(F.lit("line "), F.sha2("line", 256)).alias("dst")).agg(F.count("*").alias("weight"))
-    each = materialize(each, "lines")
-    common = each.groupBy("dst").agg(F.count("*").alias("n")).where("n > 1")
-    return materialize(each.join(common, "dst", "left_semi"), "shared-lines")
-
-
-def _document_groups(spark, d, edges):
-    nodes = table(spark, d, "documents").select(F.concat(F.lit("doc "), "doc_id").alias("node"))
-    return nodes, C.louvain(nodes, edges)
-
-
-def _documents(split, group):
-    return split.where(F.col("node").startswith("doc ")).select(F.substring("node", 5, 20).cast("long").alias("doc_id"), F.col(group).alias("community"))
-
-
-@query("document_communities")
-def document_communities(spark, d):
-    """Groups of documents by the lines they share; modularity, not a given number, decides how many. A document without any is alone."""
-    return _documents(_document_groups(spark, d, _lines_shared(spark, d))[1], "community")
-
-
-@query("bounded_communities")
-def bounded_communities(spark, d):
-    """Of the documents that share lines, groups of at least 20 nodes, numbered from the largest."""
-    edges = _lines_shared(spark, d)
-    nodes, split = _document_groups(spark, d, edges)
-    joined = edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct()
-    split = materialize(split.join(joined, "node").withColumnRenamed("community", "group"), "split")
-    return _documents(C.numbered(C.merged_down(split, edges, least=20)), "group")
-
-
 @query("source_word_groups")
 def source_word_groups(spark, d):
     """Sources of each language in 4 groups by the words of their documents."""

@@ -9,6 +9,7 @@ from weavemine.functions import text as T
 from weavemine.operators import chunking, evaluation, hierarchy, identity, state
 from weavemine.operators.components import connected_components
 from weavemine.plans.registry import query
+from weavemine.plans.split_queries import LINES, packing_sql
 from weavemine.session import table
 
 W = T.WORDS
@@ -214,7 +215,11 @@ def token_estimate(spark, d):
     return table(spark, d, "documents").groupBy("source").agg(F.count("*").alias("n"), F.sum(T.token_estimate(F.col("text"))).alias("tokens"))
 
 
-@query("greedy_parts")
+_PACKED = packing_sql("(length(line) + 3) // 4 + 1", 200, 1 << 30, LINES) + """SELECT p.doc, CAST(p.part AS INTEGER) AS part, CAST(p.first AS INTEGER) AS first, CAST(p.last AS INTEGER) AS last, CAST(sum(u.cost) AS INTEGER) AS tokens
+FROM p JOIN u ON u.doc = p.doc AND u.k BETWEEN p.first AND p.last GROUP BY p.doc, p.part, p.first, p.last"""
+
+
+@query("greedy_parts", _PACKED)
 def greedy_parts(spark, d):
     return chunking.pack_lines(table(spark, d, "documents").withColumnRenamed("doc_id", "doc"), 200)
 
