@@ -66,6 +66,19 @@ def test_enclosing_boxes_equal_the_inequality_join(spark):
     assert enclosing(df.limit(0), ["g"]).count() == 0
 
 
+def test_enclosing_meets_every_pair_of_blocks_without_a_row_a_pair(spark, monkeypatch):
+    from weavemine.operators import boxes as B
+
+    n = 1500  # each lies in all larger ones: a million pairs
+    df = spark.range(n).selectExpr("'g' AS g", "id", "double(-id) AS x", "double(-id) AS y", "double(2 * id + 1) AS w", "double(2 * id + 1) AS h")
+    monkeypatch.setattr(B, "BLOCK", 400)
+    monkeypatch.setattr(B, "BITS", 64)
+    out = B.enclosing(df, ["g"])
+    assert {(r.id, r.parent, r.depth) for r in out.collect()} == {(i, i + 1 if i + 1 < n else None, n - 1 - i) for i in range(n)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInPandas" in plan and "cx" not in plan
+
+
 def drawing(spark):
     rows = [
         dict(view="s1", element="e1"), dict(view="s2", element="e2", parent="s1"), dict(view="pin", element="e3", parent="s2", **{"class": "Pin"}),
