@@ -80,3 +80,21 @@ def test_schedule_inverse_integrates_back():
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     assert M.query(spark, str(tmp_path)).count() == 0
+
+
+def test_every_pass_has_its_own_place(spark):
+    df = spark.createDataFrame([(i, "w " * 10, "abc"[min(i % 12, 2)]) for i in range(1200)], "doc_id long, text string, source string")
+    key = M.order_key(M.F.col("doc_id"), M.F.col("text")).alias("order_key")
+    laid = M.lay_out(df.select("doc_id", "source", M.word_count(M.F.col("text")).alias("size"), key))
+    rows = M.with_copies(laid).collect()
+    assert max(r.copies for r in rows) == 2
+    for r in rows:
+        assert len(r.positions) == r.copies and r.position == (r.positions[0] if r.copies else None)
+        at = [(p * r.source_size + r.begins + r.size / 2) / r.target for p in range(2)]
+        at = [f for f in at if f < 1]
+        for f, t in zip(at, r.positions, strict=True):
+            knots = M.SCHEDULES[r.source_rank % 3]
+            area = lambda x: sum((min(x, b) - a) * (v + v + (w - v) * (min(x, b) - a) / (b - a)) / 2 for (a, v), (b, w) in zip(knots, knots[1:]) if x > a)
+            assert area(t) / area(1.0) == pytest.approx(f, abs=1e-6)
+    placed = [r._at for r in M.in_training_order(laid).collect()]
+    assert placed == sorted(placed) and len(placed) == sum(r.copies for r in rows)
