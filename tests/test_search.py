@@ -35,3 +35,20 @@ def test_bm25_takes_every_word_of_the_query(spark, folder):
 def test_snippets_of_every_word(spark, folder):
     rows = [(r.item_id, r.doc_id, r.snippet) for r in registry.queries()["snippets"](spark, folder).collect()]
     assert sorted(rows) == sorted((7, k, t) for k, t in TEXTS.items() for w in set(QUERY.split()) & set(t.split()))
+
+
+def test_repeated_ids_are_one_document_and_ties_go_by_id(spark):
+    from weavemine.operators import search as S
+
+    texts = [(1, "a a b"), (1, "a c d"), (1, "a x"), (2, None), (None, "b"), (3, "b"), (4, "b")]
+    docs = spark.createDataFrame(texts, "doc long, text string")
+    asked = spark.createDataFrame([(q, w) for q in (5, 6) for w in ("a", "b")] + [(7, "none")], "qid int, word string")
+    counts = S.WordCounts.build(docs, asked)
+    want = {(r.qid, r.doc): (round(r.score, 6), r.matched) for r in S.bm25(docs, asked).collect()}
+    got = counts.best(10).collect()
+    assert {(r.qid, r.doc): r.score for r in got} == {k: pytest.approx(v[0], abs=2e-6) for k, v in want.items()}
+    assert {r.doc: r.rank for r in counts.best(3, "matched").collect() if r.qid == 5 and r.doc}[1] == 1
+    plan = counts.best(10)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1  # only the best of each task move
+    n = counts.tally(spark.createDataFrame([(1, 2), (3, 2)], "doc long, grade int"))
+    assert {(r.qid, r.grade): r.n for r in n.collect()} == {(q, g): 2 for q in (5, 6) for g in (0, 2)}

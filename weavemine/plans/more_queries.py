@@ -9,7 +9,7 @@ from weavemine.functions import text as T
 from weavemine.operators import evaluation, threads
 from weavemine.operators import search as S
 from weavemine.plans.registry import query
-from weavemine.plans.search_queries import BM25_SQL, OVERLAP, RANKED, TOKENS, scored_documents
+from weavemine.plans.search_queries import BM25_SQL, OVERLAP, RANKED, TOKENS, word_counts
 from weavemine.session import table
 
 
@@ -21,7 +21,7 @@ SELECT qid, count(DISTINCT lang) AS parts, round(count(DISTINCT lang) / (SELECT
 def coverage_complete(spark, d):
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("doc"), "lang")
     every = docs.agg(F.countDistinct("lang").alias("every"))  # one row
-    h = S.top_k(scored_documents(spark, d), 10).join(docs, "doc").groupBy("qid").agg(F.countDistinct("lang").alias("parts")).crossJoin(every)
+    h = word_counts(spark, d).best(10).join(docs, "doc").groupBy("qid").agg(F.countDistinct("lang").alias("parts")).crossJoin(every)
     return h.select("qid", "parts", F.round(F.col("parts") / F.col("every"), 6).alias("coverage"), (F.col("parts") == F.col("every")).cast("int").alias("complete"))
 
 
@@ -33,11 +33,11 @@ b AS (SELECT r.qid, coalesce(max(l.quality) FILTER (rank <= 10), 0) AS hit FROM
 SELECT count(*) AS n, round(avg(b.hit - a.hit), 6) AS change, count(*) FILTER (b.hit > a.hit) AS gained, count(*) FILTER (b.hit < a.hit) AS lost FROM a JOIN b USING (qid)""",
 )
 def paired_change(spark, d):
-    scored = scored_documents(spark, d)
+    counts = word_counts(spark, d)
     labels = table(spark, d, "labels").select(F.col("doc_id").alias("doc"), "quality")
 
     def hits(score: str, name: str):
-        top = S.top_k(scored, 10, score=score).join(labels, "doc", "left")
+        top = counts.best(10, score).join(labels, "doc", "left")
         return top.groupBy("qid").agg(F.coalesce(F.max("quality"), F.lit(0)).alias(name))
 
     j = hits("score", "a").join(hits("matched", "b"), "qid")
