@@ -143,3 +143,29 @@ def test_list_differences_count_repeats(spark):
     df = spark.createDataFrame(rows, "k int, x array<string>, y array<string>")
     got = {r.k: (r.plus, r.minus) for r in V.list_differences(df, ["k"], "x", "y").collect()}
     assert got == {1: (["a", "b"], ["c"]), 2: ([], []), 3: (["x", "x"], ["y"]), None: (["q"], [])}
+
+
+def test_shared_counts_equal_the_join_on_any_number_of_tiles(spark, monkeypatch):
+    import random
+
+    from weavemine.operators import tiles
+
+    rnd = random.Random(5)
+    rows = [(f"m{rnd.randrange(60)}", rnd.randrange(200), rnd.choice(["x", "y", None])) for _ in range(4000)] + [(None, 1, "x"), ("m1", None, "x")]
+    df = spark.createDataFrame(rows, "m string, i int, f string")
+    plain, apart = {}, {}
+    for where, pairs in ((plain, {r[:2] for r in rows}), (apart, set(rows))):
+        n = {}
+        for r in pairs:
+            n[r[0]] = n.get(r[0], 0) + 1
+        for x in pairs:
+            for y in pairs:
+                if None not in (*x[:2], y[0]) and x[1] == y[1] and x[0] < y[0] and (where is plain or None not in (x[2], y[2]) and x[2] != y[2]):
+                    where[x[0], y[0]] = (where.get((x[0], y[0]), (0,))[0] + 1, n[x[0]], n[y[0]])
+    for size in (1 << 20, 2000):
+        monkeypatch.setattr(tiles, "TILE_PAIRS", size)
+        got = tiles.shared_counts(df, "m", "i")
+        assert {(r.a, r.b): (r.shared, r.na, r.nb) for r in got.collect()} == plain
+        assert {(r.a, r.b): (r.shared, r.na, r.nb) for r in tiles.shared_counts(df, "m", "i", "f").collect()} == apart
+    assert "FlatMapGroupsInPandas" in got._jdf.queryExecution().executedPlan().toString()
+    assert tiles.shared_counts(df.limit(0), "m", "i").count() == 0

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weavemine.operators.tiles import shared_counts
+
 
 def identifier_index(postings: DataFrame, term: str, *place: str) -> DataFrame:
     """(term, places): terms found at two places or more."""
@@ -37,11 +39,8 @@ def shared_items(items: DataFrame) -> DataFrame:
 
 
 def overlaps(ids: DataFrame, model: str, id_: str) -> DataFrame:
-    """(a, b, shared, cover, jaccard) of models with an id in common; an equi-join on the id, so disjoint pairs never meet."""
-    one = ids.select(F.col(model).alias("m"), F.col(id_).alias("i")).distinct()
-    size = one.groupBy("m").agg(F.count("*").alias("n"))
-    pairs = one.toDF("a", "i").join(one.toDF("b", "i"), "i").where("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
-    sized = pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b")
+    """(a, b, shared, cover, jaccard) of models with an id in common, counted in tiles; disjoint pairs never meet."""
+    sized = shared_counts(ids, model, id_)
     return sized.select(
         "a", "b", "shared",
         (F.col("shared") / F.least("na", "nb")).alias("cover"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weavemine.operators.identity import nearest, tfidf_pairs
 from weavemine.operators.ranges import running
+from weavemine.operators.tiles import shared_counts
 
 
 def target_groups(n: Column) -> Column:
@@ -22,11 +23,7 @@ def placed_answers(answers: DataFrame, groups: int) -> DataFrame:
 
 def shared_elements(shows: DataFrame) -> DataFrame:
     """(a, b, shared): of subjects of different families, the elements both show over the fewer that either shows; ``shows`` has (id, family, element)."""
-    one = shows.distinct()
-    size = one.groupBy("id").agg(F.count("*").alias("n"))
-    a, b = one.toDF("a", "fa", "element"), one.toDF("b", "fb", "element")
-    both = a.join(b, "element").where("a < b AND fa <> fb").groupBy("a", "b").agg(F.count("*").alias("both"))
-    return both.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b").select("a", "b", (F.col("both") / F.least("na", "nb")).alias("shared"))
+    return shared_counts(shows, "id", "element", "family").select("a", "b", (F.col("shared") / F.least("na", "nb")).alias("shared"))
 
 
 def subject_graph(words: DataFrame, shows: DataFrame, near: int = 5, weight: float = 1.0) -> DataFrame:
