@@ -1,5 +1,6 @@
 """Searches by every word of a query text, on hand-made tables."""
 
+import re
 from collections import Counter
 from math import log
 
@@ -52,3 +53,45 @@ def test_repeated_ids_are_one_document_and_ties_go_by_id(spark):
     assert "Join" not in plan and plan.count("Exchange") == 1  # only the best of each task move
     n = counts.tally(spark.createDataFrame([(1, 2), (3, 2)], "doc long, grade int"))
     assert {(r.qid, r.grade): r.n for r in n.collect()} == {(q, g): 2 for q in (5, 6) for g in (0, 2)}
+
+
+def test_dense_search_equals_all_pairs_in_any_blocks(spark, monkeypatch):
+    import math
+    import random
+
+    from weavemine.operators import search as S
+
+    rnd = random.Random(3)
+    vectors = {i: [rnd.choice([-1.0, 0.5, 2.0]) for _ in range(3)] for i in range(90)}  # many ties
+    df = spark.createDataFrame([*vectors.items(), (500, None)], "vec_id long, embedding array<float>")
+    cos = lambda a, b: round(sum(x * y for x, y in zip(a, b)) / math.sqrt(sum(x * x for x in a)) / math.sqrt(sum(x * x for x in b)), 9)
+    want = set()
+    for q in range(0, 90, 7):
+        best = sorted((-cos(vectors[q], v), i) for i, v in vectors.items() if i != q)[:5]
+        want |= {(q, i, r + 1) for r, (_, i) in enumerate(best)}
+    for asked, held in ((4096, 16384), (4, 11)):
+        monkeypatch.setattr(S, "ASKED", asked)
+        monkeypatch.setattr(S, "HELD", held)
+        got = S.dense_top_k(df, df.where("vec_id % 7 = 0 AND vec_id < 90"), 5)
+        assert {(r.qid, r.vec_id, r["rank"]) for r in got.collect()} == want
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+    few = S.dense_top_k(df.where("vec_id IN (0, 1, 500)"), df.where("vec_id = 0"), 5).orderBy("rank").collect()
+    assert [(r.vec_id, r.score is None) for r in few] == [(1, False), (500, True)]
+
+
+def test_a_text_is_lower_cased_once_and_cut_once_a_word(spark, folder):
+    plan = registry.queries()["snippets"](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"locate\(word#\d+, low#", plan) and not re.search(r"locate\(word#\d+, lower", plan)
+
+
+def test_bootstrap_draws_in_blocks(spark, monkeypatch):
+    from weavemine.operators import evaluation
+
+    rows = [("a", float(i)) for i in range(300)] + [(None, 1.0)] * 5
+    df = spark.createDataFrame(rows, "g string, v double")
+    for size in (50_000, 40):
+        monkeypatch.setattr(evaluation, "DRAWN", size)
+        got = {r.g: r for r in evaluation.bootstrap_mean(df, "g", "v").collect()}
+        half = 1.96 * (300**2 / 12 / 300) ** 0.5
+        assert got["a"].mean == 149.5 and got["a"].low == pytest.approx(149.5 - half, abs=1) and got["a"].high == pytest.approx(149.5 + half, abs=1)
+        assert tuple(got[None])[1:] == (1.0, 1.0, 1.0)
