@@ -115,11 +115,14 @@ h AS (SELECT item_id, doc_id, word, position(word IN lower(text)) AS spot, text
 SELECT item_id, doc_id, substring(text, greatest(spot - 90, 1), 180 + length(word) - greatest(91 - spot, 0)) AS snippet FROM h""")
 def snippets(spark, d):
     q = S.different_words(table(spark, d, "benchmark"), "item_id", "text").withColumnRenamed("qid", "item_id")
-    docs = table(spark, d, "documents").select("doc_id", "text", F.explode(F.array_distinct(T.search_words(F.col("text")))).alias("word"))
-    h = docs.join(q, "word").withColumn("at", F.expr("locate(word, lower(text))"))
+    # a text is lower-cased once, and an excerpt cut once a word, before it goes to all who ask
+    low = table(spark, d, "documents").select("doc_id", "text", F.lower("text").alias("low"), F.array_distinct(T.search_words(F.col("text"))).alias("words"))
+    held = low.select("doc_id", "text", "low", F.explode("words").alias("word")).join(F.broadcast(q.select("word").distinct()), "word", "left_semi")
+    held = held.withColumn("at", F.expr("locate(word, low)"))
     begin = F.greatest(F.col("at") - 90, F.lit(1))
     size = F.lit(180) + F.char_length("word") - F.greatest(F.lit(91) - F.col("at"), F.lit(0))
-    return h.select("item_id", "doc_id", F.substring("text", begin, size).alias("snippet"))
+    cut = held.select("doc_id", "word", F.substring("text", begin, size).alias("snippet"))
+    return cut.join(F.broadcast(q), "word").select("item_id", "doc_id", "snippet")
 
 
 @query("containment_walk")
