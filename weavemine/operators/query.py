@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -52,12 +54,19 @@ class Index:
         self.postings, self.sizes = postings, sizes
 
     @classmethod
-    def build(cls, items: DataFrame) -> "Index":
+    def build(cls, items: DataFrame, queries: dict[int, str] | None = None) -> "Index":
+        """Of all words, or only of those that some queries ask: then no other word leaves its text."""
         texts = indexed_text(items)
         fields = F.array(F.struct(F.lit("title").alias("field"), search_words(F.col("title")).alias("words")), F.struct(F.lit("body").alias("field"), search_words(F.col("body")).alias("words")))
         rows = texts.select("doc", F.explode(fields).alias("f")).select("doc", "f.field", "f.words", F.size("f.words").alias("len"))
         sizes = rows.groupBy("field").agg(F.count("*").alias("n"), F.avg("len").alias("avg_len"))
+        if queries is not None:
+            asked = {pair for text in queries.values() for pair in parse(text)[0]}
+            exact, prefixes = sorted(t for t, p in asked if not p), sorted(t for t, p in asked if p)
+            wanted = lambda w: reduce(or_, (F.startswith(w, F.lit(t)) for t in prefixes), w.isin(exact))
+            rows = rows.withColumn("words", F.filter("words", wanted))
         posted = rows.select("doc", "field", "len", F.explode("words").alias("word")).groupBy("field", "word", "doc", "len").agg(F.count("*").alias("tf"))
+        posted = materialize(posted, "asked") if queries is not None else posted
         df = posted.groupBy("field", "word").agg(F.count("*").alias("df"))
         posted = posted.join(df, ["field", "word"])
         return cls(materialize(posted.repartition(F.col("word")).sortWithinPartitions("word"), "search-postings"), materialize(sizes, "search-sizes"))
@@ -107,6 +116,7 @@ def search(index: Index, items: DataFrame, queries: dict[int, str], project: Col
     hits = hits.join(kept.select("doc", hay.alias("hay")), "doc")
     whole = spark.createDataFrame([(q, list(p), len(g)) for q, (g, p) in read.items()], "qid int, phrases array<string>, groups int")
     hits = hits.join(F.broadcast(whole), "qid").where(F.forall("phrases", lambda p: F.contains(F.col("hay"), p)))
+    hits = materialize(hits.select("qid", "doc", "score", "matched", "groups"), "hits")  # ranked and counted, met with the texts once
     order = Window.partitionBy("qid").orderBy(F.col("matched").desc(), F.col("score").desc(), "doc")
     hits = hits.withColumn("score", F.round("score", 6)).withColumn("rank", F.row_number().over(order))
     total = hits.groupBy("qid").agg(F.count("*").alias("total"), F.count_if(F.col("matched") == F.col("groups")).alias("every"))

@@ -110,7 +110,7 @@ SELECT qid, doc, score, matched, CAST(rank AS INTEGER) AS rank, total, CAST(ever
 def query_language(spark, d):
     none = F.lit(None).cast("string")
     items = table(spark, d, "documents").select(F.col("doc_id").alias("doc"), none.alias("id"), F.concat_ws(" ", "source", "lang").alias("name"), none.alias("place"), "text", none.alias("chunks"), none.alias("of"), F.lit("document").alias("type"), F.col("lang").alias("project"))
-    return Q.search(Q.Index.build(items), items, ASKED, project=F.col("project") != "de", kind="document")
+    return Q.search(Q.Index.build(items, ASKED), items, ASKED, project=F.col("project") != "de", kind="document")
 
 
 @query("subject_overlaps", """WITH s AS (SELECT DISTINCT l_suppkey AS id, l_suppkey % 5 AS family, l_partkey AS element FROM lineitem), n AS (SELECT id, count(*) AS n FROM s GROUP BY id)
