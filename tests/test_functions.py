@@ -1,5 +1,7 @@
 """Column functions on hand-made values: many columns of one row a query."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from weavemine.functions import origins as O
@@ -29,6 +31,25 @@ def test_short_texts(spark):
     assert (r.k1, r.k2, r.k3, r.k4) == ("properties", "connector ends", "classes", "keys")
 
 
+def test_forms_look_no_further_than_they_need(spark):
+    """Work does not grow with what is cut off, nor with the square of a run of stops; where spaces, marks and forbidden characters stand changes nothing."""
+    dots, far = F.concat(L("a"), F.repeat(L("."), 60_000), L("b")), F.concat(L(" \n"), F.repeat(L("b \t"), 500_000))
+    began = time.monotonic()
+    r = row(spark, dots=T.slug(dots, 40), term=T.anchor(F.translate(dots, ".", "-")), clip=T.clip(far, 100_000), slug=T.slug(far, 100_000), cell=T.cell(far, 32_767), sentence=T.first_sentence(F.concat(far, L(". c")), 60))
+    assert time.monotonic() - began < 20  # 40,000 stops took slug 33 s when every end of the run was tried
+    assert (r.dots, r.term) == ("a" + "." * 39, "a" + "-" * 60_000 + "b")
+    assert (r.clip, r.slug) == ("b " * 49_998 + "b…", "b_" * 50_000)
+    assert (r.cell, r.sentence) == ((" \n" + "b \t" * 20_000)[:32_766] + "…", "b " * 28 + "b…")
+    r = row(
+        spark,
+        fits=T.clip(L("  ab \n cd  "), 5), over=T.clip(L(" ab \u2003 cd e "), 6), stop=T.first_sentence(L("abcd. ef"), 5), late=T.first_sentence(L("ab cdef. gh"), 5),
+        ends=T.slug(L("ab... ___"), 4), inner=T.slug(L("ab... ___c"), 4), ahead=T.slug(L(" ._-ab"), 2), cell=T.cell(L("\x00a\x01\x02b\x00"), 2), cut=T.cell(L("\x00a\x01^b\x00c"), 3), wide=T.cell(L("\U0001d4b3" * 4), 3), none=T.clip(L(None).cast("string"), 3),
+    )
+    assert (r.fits, r.over, r.stop, r.late) == ("ab cd", "ab…", "abcd.", "ab…")
+    assert (r.ends, r.inner, r.ahead) == ("ab", "ab..", "-a")
+    assert (r.cell, r.cut, r.wide, r.none) == ("ab", "a^…", "\U0001d4b3" * 2 + "…", None)
+
+
 def test_markup(spark):
     md = "- *part* **Pump** [a \\[b\\]](x.md) `2.4` <sub>trace: `s#1`</sub> _(generated by M)_ 2*3*4"
     r = row(

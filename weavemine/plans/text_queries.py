@@ -32,7 +32,7 @@ SELECT doc_id, {_clip('l', 80)} AS clipped, {_clip('f', 60)} AS sentence,
 def text_forms(spark, d):
     x = F.coalesce("text", F.lit(""))
     return table(spark, d, "documents").select(
-        "doc_id", T.clip(x, 80).alias("clipped"), T.first_sentence(x, 60).alias("sentence"), T.slug(T.one_line(x), 40).alias("slug"), T.anchor(F.coalesce("source", F.lit(""))).alias("anchor"),
+        "doc_id", T.clip(x, 80).alias("clipped"), T.first_sentence(x, 60).alias("sentence"), T.slug(x, 40).alias("slug"), T.anchor(F.coalesce("source", F.lit(""))).alias("anchor"),
         T.plural(F.col("n_chars"), "character").alias("size"), F.md5(T.alphanumeric(x)).alias("letters"), T.cell(x, 50).alias("cell"),
     )
 
