@@ -82,3 +82,28 @@ def test_every_kind_of_code_point_splits_as_in_the_library():
     own = A.loaded(A.read_spec(PATH))
     found = Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)
     assert [hex(c) for c, t, f in zip(points, texts, found) if np.frombuffer(own.encode_bytes(t), np.uint32).tolist() != f.ids] == []
+
+
+class Counted(dict):
+    asked = 0
+
+    def get(self, *key):
+        self.asked += 1
+        return super().get(*key)
+
+
+def test_words_that_begin_alike_share_their_states():
+    m = A.Tokenizer(json.loads(A.read_spec(PATH))).automaton
+    m.inner = Counted(m.inner)
+    words = [f"thionderestalbleof{a}{b}" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    lib = Tokenizer.from_file(PATH).encode_batch(words, add_special_tokens=False)
+    assert [m.encode_word(w) for w in words] == [x.ids for x in lib]
+    assert m.inner.asked < 3 * len(words)
+
+
+def test_long_words_and_a_small_table_of_beginnings(monkeypatch):
+    monkeypatch.setattr(A, "PATHS", 5)
+    own, lib, rnd = A.Tokenizer(json.loads(A.read_spec(PATH))), Tokenizer.from_file(PATH), random.Random(5)
+    words = ["".join(rnd.choice(["th", "e", "ion", "q", "an", "s"]) for _ in range(k))[: A.NEAR - 8 + k % 17] for k in range(20, 200)] + ["a" * k for k in range(1, 80)]
+    texts = words + [f"({w}.,' {w}'s! {w}\x1c{w}" for w in words[:20]] + ["Ᲊb.", "\x1dᲉ b", "éꟋ1", "it's", "a''", "a'sb.", "1''", "\x7fa.", "\x00a"]
+    assert [np.frombuffer(own.encode_bytes(t), np.uint32).tolist() for t in texts] == [x.ids for x in lib.encode_batch(texts, add_special_tokens=False)]
