@@ -169,3 +169,60 @@ def test_shared_counts_equal_the_join_on_any_number_of_tiles(spark, monkeypatch)
         assert {(r.a, r.b): (r.shared, r.na, r.nb) for r in tiles.shared_counts(df, "m", "i", "f").collect()} == apart
     assert "FlatMapGroupsInPandas" in got._jdf.queryExecution().executedPlan().toString()
     assert tiles.shared_counts(df.limit(0), "m", "i").count() == 0
+
+
+def shuffled(df):
+    """Bytes that the exchanges of a query that has run were given."""
+
+    def of(plan):
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return of(plan.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return of(plan.plan())
+        size = plan.metrics().get("dataSize").get().value() if kind == "ShuffleExchangeExec" else 0
+        return size + sum(of(plan.children().apply(i)) for i in range(plan.children().size()))
+
+    return of(df._jdf.queryExecution().executedPlan())
+
+
+def test_shared_counts_ship_a_few_bytes_a_number(spark, monkeypatch):
+    import random
+
+    from weavemine.operators import tiles
+
+    monkeypatch.setattr(tiles, "TILE_ROWS", 1000)
+    rnd = random.Random(3)
+    rows = {(rnd.randrange(2000), at) for at in range(2000) for _ in range(8)}
+    got = tiles.shared_counts(spark.createDataFrame(sorted(rows), "m long, i long"), "m", "i")
+    pairs = {}
+    for at in range(2000):
+        held = sorted(m for m, i in rows if i == at)
+        for k, a in enumerate(held):
+            for b in held[k + 1 :]:
+                pairs[a, b] = pairs.get((a, b), 0) + 1
+    assert {(r.a, r.b): r.shared for r in got.collect()} == pairs
+    assert shuffled(got) < 40 * len(rows)  # its rows went to seven tiles each
+
+
+def test_packed_lists_are_read_back():
+    import numpy as np
+
+    from weavemine.operators import tiles
+
+    top = np.iinfo(np.int64)
+    ids, v, n = np.array([top.min, 0, top.max, 7, 9, -5]), np.array([1, -1, 300, 0, 0, 0]), np.array([3, 2, 1])
+    for got, want in zip(tiles.take_lists(tiles.put_lists(ids, v, n, n - 1), 1), (ids, v, n, n - 1)):
+        assert got.tolist() == want.tolist()
+    assert [x.tolist() for x in tiles.take(tiles.put(ids) + tiles.put(ids[:0]), 2)] == [ids.tolist(), []]
+
+
+def test_all_pairs_of_one_that_has_more_than_a_step_come_together():
+    import numpy as np
+
+    from weavemine.operators import tiles
+
+    who, lo, hi = np.array([0, 0, 0, 1]), np.array([1, 2, 3, 4]), np.array([9, 9, 9, 9])
+    got = list(tiles.tallies(who, lo, hi, lambda i, j: who[i] * 100 + j, 5))
+    assert [k.tolist() for k, _ in got] == [[*range(1, 9)], [*range(104, 109)]]
+    assert [c.tolist() for _, c in got] == [[1, 2, 3, 3, 3, 3, 3, 3], [1] * 5]
