@@ -187,9 +187,9 @@ def whole(kind: str) -> bool:
     return kind in ("tinyint", "smallint", "int", "bigint")
 
 
-def coded(rows: DataFrame, column: str, to: str) -> DataFrame:
-    """``rows`` with a column as long, in its order: whole numbers as they are, others by their place among all; null stays."""
-    if whole(rows.schema[column].dataType.simpleString()):
+def coded(rows: DataFrame, column: str, to: str, dense: bool = False) -> DataFrame:
+    """``rows`` with a column as long, in its order: whole numbers as they are, others, or all if ``dense``, by their place among all; null stays."""
+    if not dense and whole(rows.schema[column].dataType.simpleString()):
         return rows.withColumn(to, F.col(column).cast("long"))
     kinds = running(rows.select(column).where(F.col(column).isNotNull()).distinct(), [column], before=to)
     return rows.join(kinds, column, "left")
