@@ -226,3 +226,25 @@ def test_all_pairs_of_one_that_has_more_than_a_step_come_together():
     got = list(tiles.tallies(who, lo, hi, lambda i, j: who[i] * 100 + j, 5))
     assert [k.tolist() for k, _ in got] == [[*range(1, 9)], [*range(104, 109)]]
     assert [c.tolist() for _, c in got] == [[1, 2, 3, 3, 3, 3, 3, 3], [1] * 5]
+
+
+def test_overlaps_of_families_ship_a_few_bytes_a_number(spark, monkeypatch):
+    import random
+
+    from weavemine.operators import subjects, tiles
+
+    monkeypatch.setattr(tiles, "TILE_ROWS", 1000)
+    rnd = random.Random(6)
+    rows = sorted({(s, s % 5, at) for at in range(1500) for s in rnd.choices(range(1500), k=8)})
+    got = subjects.shared_elements(spark.createDataFrame(rows, "id long, family long, element long"))
+    held, n, pairs = {}, {}, {}
+    for s, f, at in rows:
+        held.setdefault(at, []).append((s, f))
+        n[s] = n.get(s, 0) + 1
+    for one in held.values():
+        for a, f in one:
+            for b, g in one:
+                if a < b and f != g:
+                    pairs[a, b] = pairs.get((a, b), 0) + 1
+    assert {(r.a, r.b): r.shared for r in got.collect()} == {(a, b): k / min(n[a], n[b]) for (a, b), k in pairs.items()}
+    assert shuffled(got) < 50 * len(rows)
