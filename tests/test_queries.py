@@ -115,3 +115,10 @@ def test_lineage_kinds(spark):
     saved = spark.createDataFrame([("base", "1"), ("copied", "2"), ("later", "3"), ("forked", "4")], "model string, saved string")
     got = {(r.older, r.newer): r.kind for r in identity.lineage(df, saved).collect()}
     assert got["base", "copied"] == "copy" and got["base", "later"] == "version" and got["base", "forked"] == "derived" and got["later", "forked"] == "root"
+
+
+def test_lineage_counts_its_pairs_once(spark):
+    marks = spark.createDataFrame([(m, i, i, "ann") for m in ("x", "y", "z") for i in range(30)] + [("far", 99, 1, "bob")], "model string, id int, day int, maker string")
+    got = identity.lineage(marks, spark.createDataFrame([("x", "1"), ("y", "2"), ("z", "3"), ("far", "4")], "model string, saved string"))
+    assert {(r.older, r.newer, r.shared, r.own_a, r.own_b, r.kind) for r in got.collect()} == {(a, b, 30, 0, 0, "copy") for a, b in ("xy", "xz", "yz")}
+    assert "FlatMapGroups" not in got._jdf.queryExecution().executedPlan().toString()

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weavemine.operators.tiles import shared_counts
+from weavemine.session import materialize
 
 
 def identifier_index(postings: DataFrame, term: str, *place: str) -> DataFrame:
@@ -142,8 +143,10 @@ def lineage(marks: DataFrame, saved: DataFrame, cover: float = 0.2, least: int =
     pairs = pairs.join(s.toDF("a", "sa"), "a").join(s.toDF("b", "sb"), "b")
     first = F.struct("sa", "a") <= F.struct("sb", "b")
     pairs = pairs.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("older"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("newer"), "shared", "cover", "jaccard")
+    pairs = materialize(pairs, "related")  # read three times below, and counted once
     ends = pairs.select("older", "newer", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("older").alias("model"), F.col("newer").alias("other")), F.struct(F.lit(1).alias("side"), F.col("newer").alias("model"), F.col("older").alias("other")))).alias("x"))
     ends = ends.select("older", "newer", "x.*")
+    marks = materialize(marks.join(ends.select("model").distinct(), "model", "left_semi"), "marks")
     held = ends.join(marks, "model").join(marks.select(F.col("model").alias("other"), "id", F.lit(True).alias("both")), ["other", "id"], "left")
     days = held.where("both AND side = 0 AND day IS NOT NULL").withColumn("r", F.row_number().over(Window.partitionBy("older", "newer").orderBy("day"))).withColumn("n", F.count("*").over(Window.partitionBy("older", "newer")))
     latest = days.where(F.col("r") == F.least("n", F.floor(F.lit(LATE) * F.col("n")) + 1)).select("older", "newer", F.col("day").alias("latest"))

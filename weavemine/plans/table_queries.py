@@ -10,7 +10,7 @@ from weavemine.operators import chunking, evaluation, hierarchy, identity, state
 from weavemine.operators.components import connected_components
 from weavemine.plans.registry import query
 from weavemine.plans.split_queries import LINES, packing_sql
-from weavemine.session import table
+from weavemine.session import materialize, table
 
 W = T.WORDS
 LINE = "trim(regexp_replace(text, '[\\s\\x0B]+', ' ', 'g'))"
@@ -294,5 +294,6 @@ FROM k JOIN st USING (older, newer)"""
 @query("lineage_sides", LINEAGE)
 def lineage_sides(spark, d):
     f = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("model"), F.col("l_partkey").alias("id")).agg(F.min("l_shipdate").alias("day"), F.min("l_returnflag").alias("maker"))
+    f = materialize(f, "marks")
     saved = f.groupBy("model").agg(F.min("day").alias("saved"))
     return identity.lineage(f, saved).select("older", "newer", "shared", "own_a", "own_b", "after_a", "after_b", "kind")
